@@ -16,11 +16,14 @@ def read_monthly(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(f"{schema}, load_month string").parquet(path)
 
 
+def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table written batch by batch, without its batch numbers."""
+    return spark.read.schema(f"{schema}, batch_id bigint").parquet(path).drop("batch_id")
+
+
 def read_mart(spark: SparkSession, path: str, name: str) -> DataFrame:
     """All versions in a mart, written as ``view=<writer>/batch_id=<n>``."""
-    return spark.read.schema(f"{schemas.MART[name]}, view string, batch_id bigint").parquet(path).drop(
-        "view", "batch_id"
-    )
+    return read_batches(spark, path, f"{schemas.MART[name]}, view string").drop("view")
 
 
 def current_mart(spark: SparkSession, path: str, name: str) -> DataFrame:

@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from workload import features, marts
+from workload import features, marts, movement, shaping, versions
 
-CASES = [*features.CASES, *marts.CASES]
+CASES = [*features.CASES, *marts.CASES, *shaping.CASES, *versions.CASES, *movement.CASES]
