@@ -4,21 +4,24 @@ How it is computed:
 
 1. Every purchase item gets one number whose bits say which *item conditions* hold for it (dairy in the
    last month, paid in cash, after 20:00, ...).
-2. Items are reduced to one row per (customer, purchase) with a bitwise or, a few sums and a maximum.
-   All of these combine before the shuffle, and all have fixed-width buffers, so it stays a hash
-   aggregation. Where distinct stores, cities or categories are needed, the same pass groups by
-   (customer, store), (customer, city) and (customer, category) too, as grouping sets.
+2. Items are reduced to one row per (customer, purchase) with a bitwise or, sums, minima and maxima. All
+   of these combine before the shuffle, and all have fixed-width buffers, so it stays a hash aggregation
+   and a basket travels as one narrow row.
 3. Those rows are reduced to one per customer, again combining before the shuffle: "distinct purchases
    with property p" is now a plain conditional count.
 4. Customers are joined to that result, one row per customer on both sides. No step sees all items of a
    customer, purchase, store or product in one task.
 
-Counting distinct ids directly would copy every item once per distinct expression instead.
+Breadth needs no distinct count of its own where the question is only "more than one store (or city)":
+the least and the greatest of a 128-bit fingerprint differ. Categories are few, so each is one more bit;
+a catalogue with more than 63 of them, or a question for exact counts, adds the grouping set
+(customer, category) to step 2. Counting distinct ids directly would copy every item once per distinct
+expression.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -71,10 +74,12 @@ def item_conditions(config: FeatureConfig) -> dict[str, Column]:
 class Profile:
     """Customer-level measures by name; remembers which of them the chosen flags read."""
 
-    def __init__(self, config: FeatureConfig) -> None:
+    def __init__(self, config: FeatureConfig, categories: Sequence[str] | None = None) -> None:
         self.config = config
+        self.categories = categories
         self.conditions: dict[str, None] = {}
         self.breadths: dict[str, None] = {}
+        self.fingerprints: dict[str, None] = {}
         self.measures: set[str] = set()
 
     def _measure(self, name: str) -> Column:
@@ -98,9 +103,25 @@ class Profile:
         return F.try_divide(self.purchases(condition), self.purchases())
 
     def distinct(self, column: str) -> Column:
+        """Number of distinct values, exactly."""
+        if column == "category_name" and self.categories:
+            return F.coalesce(self._measure("distinct_by_bit"), F.lit(0))
         self.breadths[column] = None
         return F.coalesce(self._measure(f"distinct_{column}"), F.lit(0))
 
+    def some(self, column: str) -> Column:
+        """At least one value."""
+        self.fingerprints[column] = None
+        return F.coalesce(self._measure(f"some_{column}"), F.lit(False))
+
+    def several(self, column: str) -> Column:
+        """At least two distinct values."""
+        self.fingerprints[column] = None
+        return F.coalesce(self._measure(f"several_{column}"), F.lit(False))
+
+    def at_least(self, column: str, number: int) -> Column:
+        return self.several(column) if number == 2 else self.distinct(column) >= number
+
     @property
     def last_purchase(self) -> Column:
         return self._measure("last_purchase")
@@ -160,7 +181,7 @@ FLAGS: tuple[Flag, ...] = (
     Flag("low_cost_buyer", "basket", lambda m, c: m.mean_amount < c.low_below),
     Flag("buys_bakery", "breadth", lambda m, c: m.any("bakery")),
     Flag("loyal_customer", "lifecycle", lambda m, c: (m.purchases() >= c.loyal_purchases) & m.is_loyalty_member),
-    Flag("multycity_buyer", "breadth", lambda m, c: m.distinct("city") >= c.cities),
+    Flag("multycity_buyer", "breadth", lambda m, c: m.at_least("city", c.cities)),
     Flag("bought_meat_last_week", "recency", lambda m, c: m.any("meat_week")),
     Flag("night_shopper", "daypart", lambda m, c: m.any("night")),
     Flag("morning_shopper", "daypart", lambda m, c: m.any("morning")),
@@ -177,9 +198,9 @@ FLAGS: tuple[Flag, ...] = (
         "basket",
         lambda m, c: F.try_divide(m.single_item_purchases, m.purchases()) >= c.single_item_share,
     ),
-    Flag("varied_shopper", "breadth", lambda m, c: m.distinct("category_name") >= c.categories),
-    Flag("store_loyal", "breadth", lambda m, c: m.distinct("store_id") == 1),
-    Flag("switching_loyal", "breadth", lambda m, c: m.distinct("store_id") > 1),
+    Flag("varied_shopper", "breadth", lambda m, c: m.at_least("category_name", c.categories)),
+    Flag("store_loyal", "breadth", lambda m, c: m.some("store_id") & ~m.several("store_id")),
+    Flag("switching_loyal", "breadth", lambda m, c: m.several("store_id")),
     Flag("family_shopper", "basket", lambda m, c: m.mean_items >= c.family_items),
     Flag("early_bird", "daypart", lambda m, c: m.any("midday")),
     Flag("no_purchases", "lifecycle", lambda m, c: m.purchases() == 0),
@@ -194,77 +215,98 @@ FAMILIES = tuple(dict.fromkeys(flag.family for flag in FLAGS))
 
 Ask = Callable[[Profile], list[Column]]
 
+# seeds of the two halves of a fingerprint: two different values would have to agree in both hashes
+_SEEDS = (1, 2)
+
+MAX_BITS = 63
+
 
 class _Aggregation:
     """The aggregates behind the measures that a set of output columns reads."""
 
-    def __init__(self, config: FeatureConfig, ask: Ask) -> None:
+    def __init__(self, config: FeatureConfig, ask: Ask, categories: Sequence[str] | None = None) -> None:
         self.config = config
-        self.profile = Profile(config)
+        self.profile = Profile(config, categories)
         self.columns = ask(self.profile)
-
-    def bit(self, condition: str) -> int:
-        return 1 << list(self.profile.conditions).index(condition)
+        self.bits = {name: 1 << i for i, name in enumerate(self.profile.conditions)}
+        by_purchase = ("purchases", "mean_", "single_item")
+        self.needs_purchases = any(m.startswith(by_purchase) for m in self.profile.measures)
+        self.needs_category_bits = "distinct_by_bit" in self.profile.measures
 
     def holds(self, condition: str) -> Column:
-        bit = self.bit(condition)
-        return F.col("bits").bitwiseAND(F.lit(bit)) != 0
+        return F.col("bits").bitwiseAND(F.lit(self.bits[condition])) != 0
 
-    @property
-    def needs_purchases(self) -> bool:
-        by_purchase = ("purchases", "mean_", "single_item")
-        return any(m.startswith(by_purchase) for m in self.profile.measures)
+    @staticmethod
+    def _packed(flags: Iterable[tuple[Column, int]]) -> Column:
+        """The given bits whose condition holds, in one number."""
+        out = F.lit(0).cast("bigint")
+        for condition, bit in flags:
+            out = out.bitwiseOR(F.when(condition, F.lit(bit).cast("bigint")).otherwise(F.lit(0)))
+        return out
 
-    def item_bits(self) -> Column:
+    def prepared(self, items: DataFrame) -> DataFrame:
         conditions = item_conditions(self.config)
-        bits = F.lit(0).cast("bigint")
-        for name in self.profile.conditions:
-            bits = bits.bitwiseOR(F.when(conditions[name], F.lit(self.bit(name)).cast("bigint")).otherwise(F.lit(0)))
-        return bits
+        added = {"bits": self._packed((conditions[name], bit) for name, bit in self.bits.items())}
+        if self.needs_category_bits:
+            names = self.profile.categories
+            added["category_bits"] = self._packed((F.col("category_name") == n, 1 << i) for i, n in enumerate(names))
+        for column in self.profile.fingerprints:
+            value = F.col(column)
+            for seed in _SEEDS:
+                added[f"{column}_{seed}"] = F.when(value.isNotNull(), F.xxhash64(F.lit(seed), value))
+        return items.withColumns(added)
+
+    def _item_aggregates(self) -> list[Column]:
+        out = [F.bit_or("bits").alias("bits")]
+        if self.needs_category_bits:
+            out.append(F.bit_or("category_bits").alias("category_bits"))
+        if "last_purchase" in self.profile.measures:
+            out.append(F.max("purchase_datetime").alias("last_purchase"))
+        for column in self.profile.fingerprints:
+            for seed in _SEEDS:
+                out.append(F.min(f"{column}_{seed}").alias(f"{column}_{seed}_least"))
+                out.append(F.max(f"{column}_{seed}").alias(f"{column}_{seed}_greatest"))
+        if self.needs_purchases:
+            out.append(F.count("product_id").alias("items"))
+            out.append(F.sum("total_amount").alias("amount"))
+            out.append(F.count("total_amount").alias("amount_rows"))
+        return out
 
     def by_grain(self, items: DataFrame) -> DataFrame:
-        """Items to one row per customer and purchase (and store, city, category where asked for)."""
+        """Items to one row per customer and purchase (and per value of each column counted exactly)."""
+        rows = self.prepared(items)
         keys = (["purchase_id"] if self.needs_purchases else []) + list(self.profile.breadths)
-        wanted = {"last_purchase": F.max("purchase_datetime").alias("last_purchase")}
-        aggregates = [F.bit_or("bits").alias("bits")] if self.profile.conditions else []
-        aggregates += [wanted[m] for m in wanted if m in self.profile.measures]
-        if self.needs_purchases:
-            aggregates += [
-                F.count("product_id").alias("items"),
-                F.sum("total_amount").alias("amount"),
-                F.count("total_amount").alias("amount_rows"),
-            ]
-        slim = items.withColumn("bits", self.item_bits())
         if len(keys) <= 1:
-            grain = F.lit(keys[0]) if keys else F.lit(None).cast("string")
-            return slim.groupBy("customer_id", *keys).agg(*aggregates or [F.count("*").alias("n")]).withColumn("grain", grain)
+            grain = F.lit(keys[0] if keys else "")
+            return rows.groupBy("customer_id", *keys).agg(*self._item_aggregates()).withColumn("grain", grain)
         grain = F.coalesce(*[F.when(F.grouping(k) == 0, F.lit(k)) for k in keys]).alias("grain")
-        return slim.groupingSets([["customer_id", k] for k in keys], "customer_id", *keys).agg(*aggregates, grain)
+        sets = [["customer_id", k] for k in keys]
+        return rows.groupingSets(sets, "customer_id", *keys).agg(*self._item_aggregates(), grain)
 
     def by_customer(self, rows: DataFrame) -> DataFrame:
         m = self.profile.measures
         at_purchase = F.col("grain") == "purchase_id"
-        out: list[Column] = []
-        for c in self.profile.conditions:
-            if f"any_{c}" in m:
-                out.append(F.bool_or(self.holds(c)).alias(f"any_{c}"))
-            if f"purchases_{c}" in m:
-                known = at_purchase & F.col("purchase_id").isNotNull()
-                out.append(F.count_if(known & self.holds(c)).alias(f"purchases_{c}"))
+        out: dict[str, Column] = {}
+        if self.needs_purchases:
+            known = at_purchase & F.col("purchase_id").isNotNull()
+            out["purchases"] = F.count_if(known)
+            out["single_item_purchases"] = F.count_if(at_purchase & (F.col("items") == 1))
+            out["mean_items"] = F.avg(F.when(at_purchase, F.col("items")))
+            out["mean_amount"] = self._mean_amount(at_purchase)
+            out |= {f"purchases_{c}": F.count_if(known & self.holds(c)) for c in self.bits}
+        for c in self.bits:
+            out[f"any_{c}"] = F.bool_or(self.holds(c))
         for column in self.profile.breadths:
-            present = (F.col("grain") == column) & F.col(column).isNotNull()
-            out.append(F.count_if(present).alias(f"distinct_{column}"))
-        if "purchases" in m:
-            out.append(F.count_if(at_purchase & F.col("purchase_id").isNotNull()).alias("purchases"))
-        if "last_purchase" in m:
-            out.append(F.max("last_purchase").alias("last_purchase"))
-        if "single_item_purchases" in m:
-            out.append(F.count_if(at_purchase & (F.col("items") == 1)).alias("single_item_purchases"))
-        if "mean_items" in m:
-            out.append(F.avg(F.when(at_purchase, F.col("items"))).alias("mean_items"))
-        if "mean_amount" in m:
-            out.append(self._mean_amount(at_purchase).alias("mean_amount"))
-        return rows.groupBy("customer_id").agg(*out or [F.count("*").alias("n")])
+            out[f"distinct_{column}"] = F.count_if((F.col("grain") == column) & F.col(column).isNotNull())
+        for column in self.profile.fingerprints:
+            least = [F.min(f"{column}_{seed}_least") for seed in _SEEDS]
+            greatest = [F.max(f"{column}_{seed}_greatest") for seed in _SEEDS]
+            out[f"some_{column}"] = least[0].isNotNull()
+            out[f"several_{column}"] = (least[0] != greatest[0]) | (least[1] != greatest[1])
+        out["distinct_by_bit"] = F.bit_count(F.bit_or("category_bits")) if self.needs_category_bits else None
+        out["last_purchase"] = F.max("last_purchase") if "last_purchase" in m else None
+        wanted = [c.alias(name) for name, c in out.items() if name in m]
+        return rows.groupBy("customer_id").agg(*wanted or [F.count("*").alias("rows")])
 
     def _mean_amount(self, at_purchase: Column) -> Column:
         if self.config.basket_grain == "purchase":
@@ -274,13 +316,21 @@ class _Aggregation:
         return F.try_divide(total, rows)
 
 
-def customer_profile(items: DataFrame, config: FeatureConfig, ask: Ask) -> DataFrame:
+def category_names(products: DataFrame) -> list[str] | None:
+    """The category names of a catalogue, or None where they are too many for one bit each."""
+    rows = products.select("category_name").where("category_name IS NOT NULL").distinct().limit(MAX_BITS + 1).collect()
+    return sorted(row[0] for row in rows) if len(rows) <= MAX_BITS else None
+
+
+def customer_profile(
+    items: DataFrame, config: FeatureConfig, ask: Ask, categories: Sequence[str] | None = None
+) -> DataFrame:
     """One row per customer with purchases: ``customer_id`` and the columns built from a profile.
 
     ``ask`` receives the profile and returns columns over its measures, for example
     ``lambda m: [m.purchases("cash").alias("cash_purchases")]``. Only what it reads is computed.
     """
-    plan = _Aggregation(config, ask)
+    plan = _Aggregation(config, ask, categories)
     return plan.by_customer(plan.by_grain(items)).select("customer_id", *plan.columns)
 
 
@@ -289,10 +339,12 @@ def flags_from_items(
     items: DataFrame,
     config: FeatureConfig = FeatureConfig(),
     names: Iterable[str] | None = None,
+    categories: Sequence[str] | None = None,
 ) -> DataFrame:
     """``customer_id`` and the named flags (all thirty by default), one row per customer, no NULLs.
 
     ``items`` are enriched purchase items; only the aggregates the named flags need are computed.
+    ``categories`` are all category names that occur, at most 63, if they are known.
     """
     wanted = set(FLAG_NAMES if names is None else names)
 
@@ -301,7 +353,7 @@ def flags_from_items(
             F.coalesce(flag.rule(m, config), F.lit(False)).alias(flag.name) for flag in FLAGS if flag.name in wanted
         ]
 
-    plan = _Aggregation(config, ask)
+    plan = _Aggregation(config, ask, categories)
     profile = plan.by_customer(plan.by_grain(items))
     who = customers.select(
         "customer_id", F.to_date("registration_date").alias("registration_date"), "is_loyalty_member"
@@ -319,7 +371,9 @@ def customer_features(
     names: Iterable[str] | None = None,
 ) -> DataFrame:
     """The flags from the five marts, each already reduced to its current rows."""
-    return flags_from_items(customers, enrich_items(purchases, products, stores, address), config, names)
+    items = enrich_items(purchases, products, stores, address)
+    varied = names is None or "varied_shopper" in set(names)
+    return flags_from_items(customers, items, config, names, category_names(products) if varied else None)
 
 
 def family(name: str) -> tuple[str, ...]:
