@@ -40,7 +40,8 @@ def readable(documents: DataFrame) -> DataFrame:
 
 
 def quarantined(documents: DataFrame) -> DataFrame:
-    """Documents that could not be read, with their text."""
+    """Documents that could not be read, with their text. Write or collect it whole: Spark refuses to
+    answer from the text column of a JSON file alone."""
     return documents.filter(F.col(schemas.CORRUPT).isNotNull())
 
 

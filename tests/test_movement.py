@@ -1,0 +1,380 @@
+import datetime as dt
+import hashlib
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from basketlens import schemas
+from basketlens.config import FeatureConfig, MaskingConfig
+from basketlens.functions.masking import mask_documents
+from basketlens.operators.features import FLAG_NAMES
+from basketlens.operators.flatten import flatten, to_raw, with_lineage
+from basketlens.plans import daily
+from basketlens.plans.publish import outgoing
+from basketlens.session import scratch_path
+from basketlens.sinks.export import export_csv, read_csv, result_name
+from basketlens.sinks.tables import by_month, write_batch, write_monthly
+from basketlens.sources import tables
+from basketlens.sources.documents import quarantined, readable, scan_collection, scan_json
+from basketlens.sources.topics import FileTopics
+from basketlens.streaming.ingest import Lake, append_batches, ingest, ingest_batch, parse, route, start
+from helpers import plan_of, rows
+
+MASKING = MaskingConfig("keyed", "key")
+LOADED = dt.datetime(2024, 5, 1, 10, 0, 0)
+
+PLACE = {
+    "country": "Россия",
+    "city": "Омск",
+    "street": "Мира",
+    "house": "1",
+    "postal_code": "644000",
+    "coordinates": {"latitude": 55.75, "longitude": 37.5},
+}
+FLAT = {k: v for k, v in PLACE.items() if k != "coordinates"} | {"apartment": "7"}
+STORE = {
+    "store_id": "store-1",
+    "store_name": "Магазин",
+    "store_network": "Сеть",
+    "store_type_description": "Супермаркет",
+    "type": "offline",
+    "categories": ["🥖 Зерновые и хлебобулочные изделия", "🍏 Фрукты и ягоды"],
+    "manager": {"name": "Анна", "phone": "+7 (513) 412-52-86", "email": " A@B.ru"},
+    "location": PLACE,
+    "opening_hours": {"mon_fri": "9-21", "sat": "10-20", "sun": "10-18"},
+    "accepts_online_orders": True,
+    "delivery_available": False,
+    "warehouse_connected": True,
+    "last_inventory_date": "2024-04-01",
+}
+MAKER = {"name": "ООО", "country": "Россия", "website": "https://x.ru", "inn": "1234567890"}
+KBJU = {"calories": 120.5, "protein": 1.0, "fat": 0.1, "carbohydrates": 30.0}
+PRODUCTS = [
+    {
+        "id": f"prd-{n}",
+        "name": "Товар",
+        "group": group,
+        "description": "О товаре",
+        "kbju": KBJU,
+        "price": 55.7,
+        "unit": "шт",
+        "origin_country": "Россия",
+        "expiry_days": 10,
+        "is_organic": n == 1,
+        "barcode": f"460{n}",
+        "manufacturer": MAKER,
+    }
+    for n, group in enumerate(["🥖 Зерновые и хлебобулочные изделия", "🍏 Фрукты и ягоды"])
+]
+CUSTOMER = {
+    "customer_id": "cus-1",
+    "first_name": "Иван",
+    "last_name": "Петров",
+    "email": "I@P.ru",
+    "phone": "8 827 109 1043",
+    "birth_date": "1990-01-01",
+    "gender": "male",
+    "registration_date": "2024-04-30T09:00:00.123456",
+    "is_loyalty_member": True,
+    "loyalty_card_number": "LOYAL-1",
+    "purchase_location": PLACE,
+    "delivery_address": FLAT,
+    "preferences": {"preferred_language": "ru", "preferred_payment_method": "card", "receive_promotions": True},
+}
+
+
+def bought(product):
+    return {
+        "product_id": product["id"],
+        "name": product["name"],
+        "category": product["group"],
+        "quantity": 2,
+        "unit": "шт",
+        "price_per_unit": 55.7,
+        "total_price": 111.4,
+        "kbju": KBJU,
+        "manufacturer": MAKER,
+    }
+
+
+PURCHASE = {
+    "purchase_id": "ord-1",
+    "customer": {"customer_id": "cus-1", "first_name": "Иван", "last_name": "Петров"},
+    "store": {k: STORE[k] for k in ("store_id", "store_name", "store_network")} | {"location": PLACE},
+    "items": [bought(p) for p in PRODUCTS],
+    "total_amount": 222.8,
+    "payment_method": "cash",
+    "is_delivery": True,
+    "delivery_address": FLAT,
+    "purchase_datetime": "2024-04-28T21:10:00.123456",
+}
+DOCUMENTS = {
+    "customers": [CUSTOMER, CUSTOMER | {"customer_id": "cus-2"}, CUSTOMER | {"customer_id": "cus-3", "is_loyalty_member": False}],
+    "stores": [STORE],
+    "products": PRODUCTS,
+    "purchases": [PURCHASE],
+}
+
+
+def write_documents(folder):
+    """One JSON object per file and entity, spread over lines."""
+    for entity, documents in DOCUMENTS.items():
+        (folder / entity).mkdir(parents=True)
+        for n, document in enumerate(documents):
+            text = json.dumps({"_id": f"{entity}{n}"} | document, ensure_ascii=False, indent=2)
+            (folder / entity / f"{n}.json").write_text(text, encoding="utf-8")
+
+
+def collections(spark, folder):
+    write_documents(folder)
+    return {
+        e: readable(scan_json(spark, str(folder / e), schemas.DOCUMENTS[e])).drop("load_date", "record_source")
+        for e in schemas.ENTITIES
+    }
+
+
+def test_scan_quarantines_unreadable_files(spark, tmp_path):
+    (tmp_path / "good.json").write_text(json.dumps(PRODUCTS[0], ensure_ascii=False, indent=1), encoding="utf-8")
+    (tmp_path / "bad.json").write_text('{"id": "prd', encoding="utf-8")
+    found = scan_json(spark, str(tmp_path), schemas.DOCUMENTS["products"])
+    assert rows(readable(found), "id") == [("prd-0",)]
+    (kept,) = quarantined(found).collect()
+    assert kept[schemas.CORRUPT] == '{"id": "prd'
+
+
+def test_missing_folder_gives_no_rows(spark, tmp_path):
+    found = scan_json(spark, str(tmp_path / "nothing"), schemas.DOCUMENTS["products"])
+    assert found.count() == 0 and "kbju" in found.columns
+
+
+def test_flatten_gives_the_raw_columns(spark, tmp_path):
+    widths = {"customers": 29, "stores": 26, "products": 21, "purchases": 26}
+    for entity, df in collections(spark, tmp_path / "data").items():
+        raw = to_raw(with_lineage(df, LOADED, "shop_database", entity), entity)
+        assert len(raw.columns) == widths[entity], entity
+        kinds = {f.name: f.dataType.simpleString() for f in raw.schema.fields}
+        assert kinds.pop("load_date") == "timestamp" and set(kinds.values()) == {"string"}
+        row = raw.first()
+        assert row["record_source"] == f"mongo_db:shop_database_{entity}"
+        if entity == "stores":
+            assert row["categories"].count("|") == 1 and row["accepts_online_orders"] == "True"
+            assert row["location_coordinates_latitude"] == "55.75"
+        if entity == "purchases":
+            assert [i["product_id"] for i in json.loads(row["items"])] == ["prd-0", "prd-1"]
+
+
+def test_missing_values_stay_null(spark):
+    df = spark.createDataFrame([(None, None)], "a struct<b: boolean, c: array<string>>, d int")
+    assert rows(flatten(df)) == [(None, None, None)]
+
+
+def test_outgoing_messages_are_masked(spark, tmp_path):
+    df = collections(spark, tmp_path / "data")["stores"]
+    (message,) = [json.loads(r[0]) for r in outgoing(df, "stores", MASKING, LOADED).collect()]
+    assert message["manager"]["phone"] == hashlib.sha256(b"key85134125286").hexdigest()
+    assert message["manager"]["email"] == hashlib.sha256(b"keya@b.ru").hexdigest()
+    assert message["load_date"] == "2024-05-01T10:00:00" and message["location"] == PLACE
+
+
+def test_daily_run(spark, tmp_path):
+    topics, lake = FileTopics(str(tmp_path / "topics")), Lake(str(tmp_path / "lake"))
+    config = FeatureConfig(as_of=dt.date(2024, 5, 1))
+    data = collections(spark, tmp_path / "data")
+    target = str(tmp_path / "out")
+
+    def run(at):
+        return daily.run(spark, data, topics, lake, target, MASKING, config, at)
+
+    path = run(LOADED)
+    assert path.endswith(result_name(config.as_of)) and "analytic_result_2024_05_01" in path
+    report = read_csv(spark, path, "customer_id string, " + ", ".join(f"{n} boolean" for n in FLAG_NAMES))
+    found = {r["customer_id"]: {n for n in FLAG_NAMES if r[n]} for r in report.collect()}
+    assert set(found) == {"cus-1", "cus-2"}
+    assert found["cus-2"] == {"no_purchases", "new_customer", "not_bought_veggies_14d", "vegetarian_profile"}
+    assert {"buys_bakery", "bought_fruits_last_14d", "organic_preference", "delivery_user", "night_shopper"} <= found["cus-1"]
+    assert {"prefers_cash", "weekend_shopper", "store_loyal", "new_customer"} <= found["cus-1"]
+    assert "single_item_buyer" not in found["cus-1"] and "no_purchases" not in found["cus-1"]
+
+    first = {n: tables.read_mart(spark, lake.mart(n), n).count() for n in schemas.MART}
+    assert first == {"address": 7, "manufacturers": 2, "products": 2, "customers": 2, "stores": 1, "purchases": 2}
+    assert {n: tables.current_mart(spark, lake.mart(n), n).count() for n in schemas.MART} == first | {
+        "address": 2,
+        "manufacturers": 1,
+    }
+    # the next day adds versions; what a report sees stays the same
+    run(LOADED + dt.timedelta(days=1))
+    assert tables.read_mart(spark, lake.mart("customers"), "customers").count() == 4
+    assert tables.current_mart(spark, lake.mart("customers"), "customers").count() == 2
+    again = read_csv(spark, path, "customer_id string, " + ", ".join(f"{n} boolean" for n in FLAG_NAMES))
+    assert {r["customer_id"]: {n for n in FLAG_NAMES if r[n]} for r in again.collect()} == found
+
+
+def messages(spark, *values):
+    return spark.createDataFrame([("products", v) for v in values], "topic string, value string")
+
+
+def product_message(n):
+    return json.dumps(PRODUCTS[0] | {"_id": str(n), "id": f"prd-{n}", "load_date": "2024-05-01T10:00:00"}, ensure_ascii=False)
+
+
+def test_unreadable_messages_are_kept_aside(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    broken = product_message(2)[:-5]
+    wrong_type = product_message(3).replace("55.7", '"dear"')
+    ingest_batch("products", lake)(messages(spark, product_message(1), broken, wrong_type, "", "[]"), 0)
+    assert spark.read.parquet(lake.raw("products")).select("product_id").collect() == [("prd-1",)]
+    kept = {r["value"] for r in spark.read.parquet(lake.unreadable("products")).collect()}
+    assert {broken, wrong_type} <= kept
+    assert tables.read_mart(spark, lake.mart("products"), "products").count() == 1
+
+
+def test_rejected_rows_are_kept_with_their_reason(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    free = product_message(2).replace("55.7", "0")
+    ingest_batch("products", lake)(messages(spark, product_message(1), free), 0)
+    (row,) = spark.read.parquet(lake.rejected("products")).collect()
+    assert row["product_id"] == "prd-2" and row["failed_rules"] == ["price"]
+
+
+def test_replayed_batch_changes_nothing(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    step = ingest_batch("products", lake)
+    for batch in (0, 1, 0, 1, 1):
+        step(messages(spark, product_message(10 + batch), product_message(20 + batch)), batch)
+    assert spark.read.parquet(lake.raw("products")).count() == 4
+    assert tables.read_mart(spark, lake.mart("products"), "products").count() == 4
+
+
+def test_restart_after_a_failure_between_write_and_commit(spark, tmp_path):
+    topics, table = FileTopics(str(tmp_path / "topics"), max_files_per_trigger=1), str(tmp_path / "table")
+    for n in range(3):
+        topics.publish(messages(spark, product_message(n)).coalesce(1), "products")
+    write, failed = append_batches(table), []
+
+    def failing(batch, batch_id):
+        write(batch, batch_id)
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost after the write")
+
+    stream = topics.stream(spark, ["products"])
+    with pytest.raises(Exception, match="lost after the write"):
+        start(stream, failing, str(tmp_path / "checkpoint"), "failing").awaitTermination()
+    start(stream, failing, str(tmp_path / "checkpoint"), "again").awaitTermination()
+    found = spark.read.parquet(table)
+    assert failed == [1] and found.count() == 3 and found.select("value").distinct().count() == 3
+    # nothing new: a further run writes nothing
+    start(stream, failing, str(tmp_path / "checkpoint"), "idle").awaitTermination()
+    assert spark.read.parquet(table).count() == 3
+
+
+def test_stream_gives_what_the_batch_views_give(spark, tmp_path):
+    from basketlens.operators import marts
+
+    topics, lake = FileTopics(str(tmp_path / "topics"), max_files_per_trigger=1), Lake(str(tmp_path / "lake"))
+    data = collections(spark, tmp_path / "data")
+    for entity, df in data.items():
+        topics.publish(outgoing(df.repartition(2), entity, MASKING, LOADED), entity)
+    ingest(spark, topics, lake)
+    for view in marts.VIEWS:
+        documents = with_lineage(mask_documents(data[view.source], MASKING), LOADED, "shop_database", view.source)
+        wanted = view.build(to_raw(documents, view.source))
+        written = tables.read_batches(spark, f"{lake.mart(view.target)}/view={view.name}", schemas.MART[view.target])
+        assert rows(written) == rows(wanted), view.name
+
+
+def test_route_sends_rows_to_their_topic(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "topic string, n int")
+    step = route(str(tmp_path / "t"))
+    step(df, 0)
+    step(df, 0)
+    found = spark.read.parquet(str(tmp_path / "t"))
+    assert rows(found, "topic", "n") == [("a", 1), ("a", 3), ("b", 2)]
+
+
+def test_a_large_month_is_cut_into_several_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(0, 200_000, 1, 8).select(
+        F.md5(F.col("id").cast("string")).alias("id"),
+        F.when(F.col("id") % 10 == 0, F.lit(LOADED) - F.make_dt_interval(F.lit(40))).otherwise(F.lit(LOADED)).alias("load_date"),
+    )
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        write_monthly(df, path, "id")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    back = tables.read_monthly(spark, path, "id string, load_date timestamp")
+    assert back.count() == 200_000 and back.filter("load_month = '202403'").count() == 20_000
+    files = back.filter("load_month = '202405'").select("_metadata.file_name").distinct().count()
+    assert files > 2
+
+
+def test_monthly_snapshot_prunes_partitions(spark, tmp_path):
+    from basketlens.operators.dedup import latest_snapshot
+
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, LOADED), (2, dt.datetime(2024, 3, 1)), (3, dt.datetime(2024, 5, 1, 9))], "id int, load_date timestamp")
+    write_monthly(df, path, "id")
+    found = latest_snapshot(tables.read_monthly(spark, path, "id int, load_date timestamp"), partition_column="load_month")
+    assert rows(found, "id") == [(1,)]
+    assert "PartitionFilters: [isnotnull(load_month" in plan_of(found)
+
+
+def test_rows_within_a_month_are_ordered(spark):
+    df = spark.createDataFrame([(2, LOADED), (1, LOADED), (3, dt.datetime(2024, 4, 1))], "id int, load_date timestamp")
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan_of(by_month(df, "id"))
+
+
+def test_batch_folder_is_overwritten(spark, tmp_path):
+    path = write_batch(spark.range(3), str(tmp_path / "t"), 7)
+    write_batch(spark.range(2), str(tmp_path / "t"), 7)
+    assert path.endswith("batch_id=7") and spark.read.parquet(path).count() == 2
+
+
+def test_export_parts_are_in_order(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 5).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("customer_id"), (F.col("id") % 2 == 0).alias("even"))
+    path = str(tmp_path / "csv")
+    export_csv(df.orderBy(F.rand(1)), path, "customer_id")
+    export_csv(df.orderBy(F.rand(1)), path, "customer_id")
+    parts = sorted((tmp_path / "csv").glob("part-*.csv"))
+    lines = [line for part in parts for line in part.read_text().splitlines()[1:]]
+    assert [line.split(",")[0] for line in lines] == [f"{i:04d}" for i in range(1000)]
+    assert rows(read_csv(spark, path, "customer_id string, even boolean")) == rows(df)
+
+
+def test_export_of_a_small_result_is_one_file(spark, tmp_path):
+    df = spark.range(0, 100, 1, 5).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("customer_id"))
+    for bound in (100, 99):
+        path = tmp_path / f"csv{bound}"
+        export_csv(df.orderBy(F.rand(1)), str(path), "customer_id", single_file_rows=bound)
+        assert read_csv(spark, str(path), "customer_id string").count() == 100
+    (only,) = (tmp_path / "csv100").glob("part-*.csv")
+    assert only.read_text().splitlines() == ["customer_id", *[f"{i:04d}" for i in range(100)]]
+
+
+def test_collection_scan_takes_any_format(spark, tmp_path):
+    spark.range(3).write.orc(str(tmp_path / "o"))
+    assert scan_collection(spark, str(tmp_path / "o"), "orc").count() == 3
+
+
+def test_jdbc_subquery_text():
+    text = tables.snapshot_query("mart.stores", ["store_id", "address_id"])
+    assert text == (
+        "(SELECT store_id, address_id FROM mart.stores "
+        "WHERE load_date = (SELECT max(load_date) FROM mart.stores)) AS snapshot"
+    )
+
+
+def test_scratch_folder_is_the_shared_one(spark):
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert first != second
+    if root:
+        assert first.startswith(root)
+
+
+def test_parse_keeps_every_message(spark):
+    df = parse(messages(spark, product_message(1), "nonsense", ""), "products")
+    assert df.count() == 3 and df.filter("readable").count() == 1
