@@ -53,11 +53,19 @@ def current_rows(df: DataFrame, keys: Sequence[str], version: str = "load_date")
 
 
 def retained(
-    df: DataFrame, as_of: dt.date | dt.datetime | Column, column: str = "load_date", months: int = 12
+    df: DataFrame,
+    as_of: dt.date | dt.datetime | Column,
+    column: str = "load_date",
+    months: int = 12,
+    partition_column: str | None = None,
 ) -> DataFrame:
     """Rows whose load is less than the retention period old.
 
-    The bound is a constant, so it reaches the scan as a pushed filter.
+    The bound is a constant, so it reaches the scan as a pushed filter; with ``partition_column`` (the
+    ``load_month`` of a monthly table) expired months are not read at all.
     """
     bound = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    return df.filter(F.col(column) > bound - F.make_ym_interval(F.lit(0), F.lit(months)))
+    bound = bound - F.make_ym_interval(F.lit(0), F.lit(months))
+    if partition_column is not None:
+        df = df.filter(F.col(partition_column) >= F.date_format(bound, "yyyyMM"))
+    return df.filter(F.col(column) > bound)

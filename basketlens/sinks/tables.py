@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def load_month(load_column: str = "load_date") -> Column:
+    """The partition a row belongs to, as text such as '202405'."""
+    return F.date_format(load_column, "yyyyMM")
+
+
 def by_month(df: DataFrame, order_key: str, load_column: str = "load_date") -> DataFrame:
     """Rows arranged for a table partitioned by load month and ordered by load time and id.
 
@@ -13,9 +18,8 @@ def by_month(df: DataFrame, order_key: str, load_column: str = "load_date") -> D
     advisory size: a daily load is a single month, and a plain repartition by month would push all of
     it through one task.
     """
-    month = F.date_format(load_column, "yyyyMM")
     return (
-        df.withColumn("load_month", month)
+        df.withColumn("load_month", load_month(load_column))
         .hint("rebalance", F.col("load_month"))
         .sortWithinPartitions("load_month", load_column, order_key)
     )

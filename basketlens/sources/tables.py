@@ -22,19 +22,26 @@ def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_mart(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """All versions in a mart, written as ``view=<writer>/batch_id=<n>``."""
-    return read_batches(spark, path, f"{schemas.MART[name]}, view string").drop("view")
+    """All versions in a mart, written as ``view=<writer>/batch_id=<n>/load_month=<month>``."""
+    return _mart_files(spark, path, name).drop("load_month")
+
+
+def _mart_files(spark: SparkSession, path: str, name: str) -> DataFrame:
+    return read_batches(spark, path, f"{schemas.MART[name]}, view string, load_month string").drop("view")
 
 
 def current_mart(spark: SparkSession, path: str, name: str) -> DataFrame:
     """The rows a report should see.
 
-    Addresses come from several collections whose loads need not carry the same time, so they are
-    reduced to the newest row per key over all loads; the other marts to their newest load first.
+    Every run loads full snapshots, so the newest load is all that counts, and only the files of its
+    month are read. Addresses come from several collections whose loads need not carry the same time;
+    they are reduced to the newest row per key over all loads.
     """
-    rows = read_mart(spark, path, name)
     keys = schemas.MART_KEYS[name]
-    return dedup.latest_by_key(rows, keys) if name == "address" else dedup.current_rows(rows, keys)
+    if name == "address":
+        return dedup.latest_by_key(read_mart(spark, path, name), keys)
+    newest = dedup.latest_snapshot(_mart_files(spark, path, name), partition_column="load_month")
+    return dedup.latest_by_key(newest.drop("load_month"), keys)
 
 
 def snapshot_query(table: str, columns: Sequence[str], load_column: str = "load_date") -> str:

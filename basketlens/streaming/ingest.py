@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from basketlens import schemas
 from basketlens.operators import marts
 from basketlens.operators.flatten import to_raw
-from basketlens.sinks.tables import by_month, write_batch
+from basketlens.sinks.tables import by_month, load_month, write_batch
 
 #: Fixed value: a batch is at most this old before it is written.
 MAX_WAIT = "5 seconds"
@@ -61,7 +61,8 @@ def parse(messages: DataFrame, entity: str) -> DataFrame:
 def fill_marts(raw: DataFrame, entity: str, lake: Lake, batch_id: int, keep_rejects: bool = True) -> None:
     """Run every view fed by the entity on one batch of RAW rows."""
     for view in marts.views_of(entity):
-        write_batch(view.build(raw), f"{lake.mart(view.target)}/view={view.name}", batch_id)
+        rows = view.build(raw).withColumn("load_month", load_month())
+        write_batch(rows, f"{lake.mart(view.target)}/view={view.name}", batch_id, "load_month")
         if keep_rejects:
             write_batch(view.rejects(raw), lake.rejected(view.name), batch_id)
 

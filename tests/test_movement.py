@@ -280,7 +280,8 @@ def test_stream_gives_what_the_batch_views_give(spark, tmp_path):
     for view in marts.VIEWS:
         documents = with_lineage(mask_documents(data[view.source], MASKING), LOADED, "shop_database", view.source)
         wanted = view.build(to_raw(documents, view.source))
-        written = tables.read_batches(spark, f"{lake.mart(view.target)}/view={view.name}", schemas.MART[view.target])
+        folder = f"{lake.mart(view.target)}/view={view.name}"
+        written = tables.read_batches(spark, folder, f"{schemas.MART[view.target]}, load_month string").drop("load_month")
         assert rows(written) == rows(wanted), view.name
 
 
@@ -322,6 +323,28 @@ def test_monthly_snapshot_prunes_partitions(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(load_month" in plan_of(found)
 
 
+def test_retention_prunes_partitions(spark, tmp_path):
+    from basketlens.operators.dedup import retained
+
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, LOADED), (2, dt.datetime(2023, 5, 1)), (3, dt.datetime(2023, 5, 9))], "id int, load_date timestamp")
+    write_monthly(df, path, "id")
+    table = tables.read_monthly(spark, path, "id int, load_date timestamp")
+    found = retained(table, dt.date(2024, 5, 2), partition_column="load_month")
+    assert rows(found, "id") == [(1,), (3,)]
+    assert "PartitionFilters: [isnotnull(load_month" in plan_of(found)
+
+
+def test_current_mart_reads_the_newest_month_only(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    step = ingest_batch("products", lake)
+    step(messages(spark, product_message(1), product_message(2)), 0)
+    step(messages(spark, *[product_message(1).replace("2024-05-01", "2024-06-01")] * 2), 1)
+    found = tables.current_mart(spark, lake.mart("products"), "products")
+    assert rows(found, "product_id") == [("prd-1",)]
+    assert "PartitionFilters: [isnotnull(load_month" in plan_of(found)
+
+
 def test_rows_within_a_month_are_ordered(spark):
     df = spark.createDataFrame([(2, LOADED), (1, LOADED), (3, dt.datetime(2024, 4, 1))], "id int, load_date timestamp")
     assert "REBALANCE_PARTITIONS_BY_COL" in plan_of(by_month(df, "id"))

@@ -8,11 +8,14 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.operators import dedup
+from basketlens.config import CategoryRoles
+from basketlens.operators import dedup, marts
 from basketlens.operators.fact import enrich_items, wide_fact
 from basketlens.operators.features import FAMILIES, FLAG_NAMES, customer_features, customer_profile, family
+from basketlens.schemas import MART_KEYS
 from workload.adapter import CONFIG, Supplied
 from workload.case import Case, with_domain
+from workload.marts import SQL_ADDRESS, SQL_CUSTOMERS, SQL_PRODUCTS, SQL_PURCHASES, SQL_STORES
 
 DOMAIN_NAMES = ("customers", "purchases", "products", "stores", "address")
 
@@ -113,6 +116,50 @@ def flags_sql(names=FLAG_NAMES, newest: bool = False, changed: dict[str, str] |
     )
 
 
+# The marts built from RAW hold category names such as "economy, овощи".
+RAW_SUFFIX = ", овощи"
+RAW_ROLES = ("economy", "medium", "standard", "promo", "small")
+RAW_CONFIG = replace(CONFIG, roles=CategoryRoles(*[name + RAW_SUFFIX for name in RAW_ROLES]))
+assert CONFIG.roles == CategoryRoles(*RAW_ROLES)
+
+PURCHASE_TIES = (
+    "store_id customer_id quantity unit price_per_unit total_item_price total_amount payment_method is_delivery "
+    "delivery_address_id purchase_datetime"
+).split()
+
+
+def _report_from_raw(s: Supplied) -> DataFrame:
+    """The whole way: RAW rows through the views, newest versions, flags."""
+    views = {v.name: v for v in marts.VIEWS}
+    current = {
+        name: dedup.current_rows(views[name].build(s.domain(f"raw_{name}")), MART_KEYS[name])
+        for name in ("customers", "purchases", "products", "stores")
+    }
+    addresses = marts.build_address(s.domain("raw_customers"), s.domain("raw_stores"))
+    current["address"] = dedup.latest_by_key(addresses, MART_KEYS["address"])
+    return customer_features(**current, config=RAW_CONFIG)
+
+
+def _report_sql() -> str:
+    ties = ", ".join(f"{c} DESC NULLS LAST" for c in PURCHASE_TIES)
+    measures = MEASURES
+    for name in RAW_ROLES:
+        measures = measures.replace(f"'{name}'", f"'{name}{RAW_SUFFIX}'")
+    columns = ", ".join(f"coalesce({FLAG_SQL[name]}, false) AS {name}" for name in FLAG_NAMES)
+    return with_domain(
+        "raw_customers",
+        "raw_products",
+        "raw_stores",
+        "raw_purchases",
+        body=f""", customers AS ({SQL_CUSTOMERS}), products AS ({SQL_PRODUCTS}), stores AS ({SQL_STORES}),
+            address AS (SELECT address_id, max(city) AS city FROM ({SQL_ADDRESS}) GROUP BY address_id),
+            purchases AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY purchase_id, product_id
+                ORDER BY {ties}) AS version FROM ({SQL_PURCHASES})) WHERE version = 1),
+            fact AS ({FACT.format(purchases="purchases")}), m AS ({measures}), b AS ({BASKETS})
+            SELECT customer_id, {columns} FROM m JOIN b USING (customer_id)""",
+    )
+
+
 def _fact_sql(body: str) -> str:
     return with_domain(*DOMAIN_NAMES, body=f", fact AS ({FACT.format(purchases='purchases')}) {body}")
 
@@ -122,18 +169,18 @@ def all_purchases(s: Supplied) -> dict[str, DataFrame]:
 
 
 def newest_purchases(s: Supplied) -> dict[str, DataFrame]:
-    marts = s.marts()
-    marts["purchases"] = dedup.current_rows(marts["purchases"], ("purchase_id", "product_id"))
-    return marts
+    tables = s.marts()
+    tables["purchases"] = dedup.current_rows(tables["purchases"], MART_KEYS["purchases"])
+    return tables
 
 
-def _flags(marts: Callable[[Supplied], dict[str, DataFrame]], names=None, config=CONFIG):
-    return lambda s: customer_features(**marts(s), config=config, names=names)
+def _flags(read: Callable[[Supplied], dict[str, DataFrame]], names=None, config=CONFIG):
+    return lambda s: customer_features(**read(s), config=config, names=names)
 
 
 def _items(s: Supplied) -> DataFrame:
-    marts = s.marts()
-    return enrich_items(*[marts[name] for name in DOMAIN_NAMES[1:]])
+    tables = s.marts()
+    return enrich_items(*[tables[name] for name in DOMAIN_NAMES[1:]])
 
 
 def _wide(s: Supplied) -> DataFrame:
@@ -188,6 +235,7 @@ CASES = [
         Case(f"features_{name}", _flags(newest_purchases, family(name)), flags_sql(family(name), newest=True))
         for name in FAMILIES
     ],
+    Case("report_from_raw", _report_from_raw, _report_sql()),
     Case("wide_fact", _wide, _fact_sql("SELECT * FROM fact")),
     Case(
         "recency_flags",
