@@ -12,6 +12,9 @@ from basketlens import schemas
 from basketlens.functions import casts
 from basketlens.functions.text import join_list
 
+# Fixed value: the form of record_source.
+RECORD_SOURCE = "mongo_db:{database}_{collection}"
+
 
 def as_text(c: Column, kind: T.DataType) -> Column:
     """A leaf value as RAW text: 'True'/'False' for flags, '|'-joined lists, JSON for lists of objects.
@@ -47,7 +50,7 @@ def with_lineage(df: DataFrame, loaded_at: dt.datetime, database: str, collectio
     return df.withColumns(
         {
             "load_date": F.lit(loaded_at.isoformat(timespec="seconds")),
-            "record_source": F.lit(f"mongo_db:{database}_{collection}"),
+            "record_source": F.lit(RECORD_SOURCE.format(database=database, collection=collection)),
         }
     )
 

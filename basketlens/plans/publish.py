@@ -12,6 +12,7 @@ from basketlens.functions.masking import mask_documents
 from basketlens.operators.flatten import with_lineage
 from basketlens.sinks.messages import to_messages
 
+# Fixed value: the database named in record_source.
 DATABASE = "shop_database"
 
 

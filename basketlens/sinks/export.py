@@ -10,6 +10,7 @@ from basketlens.session import scratch_path
 
 
 def result_name(as_of: dt.date) -> str:
+    # Fixed value: the form of the result name.
     return f"analytic_result_{as_of:%Y_%m_%d}"
 
 
