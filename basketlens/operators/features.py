@@ -233,27 +233,22 @@ class _Aggregation:
         self.needs_purchases = any(m.startswith(by_purchase) for m in self.profile.measures)
         self.needs_category_bits = "distinct_by_bit" in self.profile.measures
 
-    def holds(self, condition: str) -> Column:
-        return F.col("bits").bitwiseAND(F.lit(self.bits[condition])) != 0
-
-    @staticmethod
-    def _packed(flags: Iterable[tuple[Column, int]]) -> Column:
-        """The given bits whose condition holds, in one number."""
-        out = F.lit(0).cast("bigint")
-        for condition, bit in flags:
-            out = out.bitwiseOR(F.when(condition, F.lit(bit).cast("bigint")).otherwise(F.lit(0)))
-        return out
+    def holds(self, condition: str) -> str:
+        return f"bits & {self.bits[condition]}L != 0"
 
     def prepared(self, items: DataFrame) -> DataFrame:
+        """Items with their conditions, categories and fingerprints as numbers."""
         conditions = item_conditions(self.config)
-        added = {"bits": self._packed((conditions[name], bit) for name, bit in self.bits.items())}
+        items = items.withColumns({f"holds_{name}": conditions[name] for name in self.bits})
+        added = {"bits": F.expr(" | ".join(["0L", *[f"if(holds_{name}, {bit}L, 0L)" for name, bit in self.bits.items()]]))}
         if self.needs_category_bits:
-            names = self.profile.categories
-            added["category_bits"] = self._packed((F.col("category_name") == n, 1 << i) for i, n in enumerate(names))
+            items = items.withColumn(
+                "category_no", F.array_position(F.lit(list(self.profile.categories)), F.col("category_name"))
+            )
+            added["category_bits"] = F.expr("if(category_no > 0, shiftleft(1L, int(category_no) - 1), 0L)")
         for column in self.profile.fingerprints:
-            value = F.col(column)
             for seed in _SEEDS:
-                added[f"{column}_{seed}"] = F.when(value.isNotNull(), F.xxhash64(F.lit(seed), value))
+                added[f"{column}_{seed}"] = F.expr(f"if({column} IS NOT NULL, xxhash64({seed}, {column}), NULL)")
         return items.withColumns(added)
 
     def _item_aggregates(self) -> list[Column]:
@@ -284,36 +279,32 @@ class _Aggregation:
         return rows.groupingSets(sets, "customer_id", *keys).agg(*self._item_aggregates(), grain)
 
     def by_customer(self, rows: DataFrame) -> DataFrame:
-        m = self.profile.measures
-        at_purchase = F.col("grain") == "purchase_id"
-        out: dict[str, Column] = {}
-        if self.needs_purchases:
-            known = at_purchase & F.col("purchase_id").isNotNull()
-            out["purchases"] = F.count_if(known)
-            out["single_item_purchases"] = F.count_if(at_purchase & (F.col("items") == 1))
-            out["mean_items"] = F.avg(F.when(at_purchase, F.col("items")))
-            out["mean_amount"] = self._mean_amount(at_purchase)
-            out |= {f"purchases_{c}": F.count_if(known & self.holds(c)) for c in self.bits}
+        at_purchase = "grain = 'purchase_id'"
+        known = f"{at_purchase} AND purchase_id IS NOT NULL"
+        sql = {
+            "purchases": f"count_if({known})",
+            "single_item_purchases": f"count_if({at_purchase} AND items = 1)",
+            "mean_items": f"avg(if({at_purchase}, items, NULL))",
+            "mean_amount": self._mean_amount(at_purchase),
+            "last_purchase": "max(last_purchase)",
+            "distinct_by_bit": "bit_count(bit_or(category_bits))",
+        }
         for c in self.bits:
-            out[f"any_{c}"] = F.bool_or(self.holds(c))
+            sql[f"any_{c}"] = f"bool_or({self.holds(c)})"
+            sql[f"purchases_{c}"] = f"count_if({known} AND {self.holds(c)})"
         for column in self.profile.breadths:
-            out[f"distinct_{column}"] = F.count_if((F.col("grain") == column) & F.col(column).isNotNull())
+            sql[f"distinct_{column}"] = f"count_if(grain = '{column}' AND {column} IS NOT NULL)"
         for column in self.profile.fingerprints:
-            least = [F.min(f"{column}_{seed}_least") for seed in _SEEDS]
-            greatest = [F.max(f"{column}_{seed}_greatest") for seed in _SEEDS]
-            out[f"some_{column}"] = least[0].isNotNull()
-            out[f"several_{column}"] = (least[0] != greatest[0]) | (least[1] != greatest[1])
-        out["distinct_by_bit"] = F.bit_count(F.bit_or("category_bits")) if self.needs_category_bits else None
-        out["last_purchase"] = F.max("last_purchase") if "last_purchase" in m else None
-        wanted = [c.alias(name) for name, c in out.items() if name in m]
+            differ = [f"min({column}_{seed}_least) <> max({column}_{seed}_greatest)" for seed in _SEEDS]
+            sql[f"some_{column}"] = f"min({column}_{_SEEDS[0]}_least) IS NOT NULL"
+            sql[f"several_{column}"] = " OR ".join(differ)
+        wanted = [F.expr(text).alias(name) for name, text in sql.items() if name in self.profile.measures]
         return rows.groupBy("customer_id").agg(*wanted or [F.count("*").alias("rows")])
 
-    def _mean_amount(self, at_purchase: Column) -> Column:
+    def _mean_amount(self, at_purchase: str) -> str:
         if self.config.basket_grain == "purchase":
-            return F.avg(F.when(at_purchase, F.try_divide(F.col("amount"), F.col("amount_rows"))))
-        total = F.sum(F.when(at_purchase, F.col("amount")))
-        rows = F.sum(F.when(at_purchase, F.col("amount_rows")))
-        return F.try_divide(total, rows)
+            return f"avg(if({at_purchase}, try_divide(amount, amount_rows), NULL))"
+        return f"try_divide(sum(if({at_purchase}, amount, NULL)), sum(if({at_purchase}, amount_rows, NULL)))"
 
 
 def category_names(products: DataFrame) -> list[str] | None:
