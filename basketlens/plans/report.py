@@ -7,17 +7,30 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from basketlens.config import FeatureConfig
+from basketlens.operators.dedup import latest_by_key
 from basketlens.operators.features import customer_features
+from basketlens.schemas import MART_KEYS
+from basketlens.session import staged
 from basketlens.sinks.export import export_csv, result_name
-from basketlens.sources.tables import current_mart
+from basketlens.sources.tables import current_mart, read_mart
 from basketlens.streaming.ingest import Lake
 
-MARTS = ("customers", "purchases", "products", "stores", "address")
+def report(spark: SparkSession, lake: Lake, config: FeatureConfig) -> DataFrame:
+    """The flags of the current customers.
 
+    The looked-up tables are narrowed, versioned and staged once: each is read several times, and the
+    address mart holds the addresses of all customers while only those of stores are needed.
+    """
 
-def report(spark: SparkSession, lake: Lake, config: FeatureConfig) -> DataFrame:
-    current = {name: current_mart(spark, lake.mart(name), name) for name in MARTS}
-    return customer_features(**current, config=config)
+    def current(name: str) -> DataFrame:
+        return current_mart(spark, lake.mart(name), name)
+
+    products = staged(current("products").select("product_id", "category_name", "is_organic"), "products")
+    stores = staged(current("stores").select("store_id", "address_id"), "stores")
+    written = read_mart(spark, lake.mart("address"), "address").select("address_id", "city", "load_date")
+    of_stores = written.join(stores.select("address_id").distinct(), "address_id", "left_semi")
+    address = staged(latest_by_key(of_stores, MART_KEYS["address"]), "address")
+    return customer_features(current("customers"), current("purchases"), products, stores, address, config)
 
 
 def publish_report(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the jobs are written for. None of them fixes a partition count: adaptive execution
 #: coalesces and splits shuffle partitions from the sizes it measures.
@@ -38,3 +38,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="basketlens-"))
         root = spark.sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/basketlens/{label}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to a scratch table and read back: computed once, whatever happens to executors
+    later, and of a size the optimizer knows."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.session import scratch_path
+from basketlens.session import staged
 
 
 def result_name(as_of: dt.date) -> str:
@@ -21,20 +21,13 @@ def export_csv(df: DataFrame, path: str, order_by: str, single_file_rows: int =
     result. A result of at most ``single_file_rows`` rows becomes one file: it is written to a
     scratch table first, whose row count decides.
     """
-    spark = df.sparkSession
     if single_file_rows:
-        df = _staged(spark, df)
+        df = staged(df, "export")
         if df.count() <= single_file_rows:
             df.coalesce(1).sortWithinPartitions(order_by).write.mode("overwrite").option("header", True).csv(path)
             return
     df.orderBy(order_by).write.mode("overwrite").option("header", True).csv(path)
 
 
-def _staged(spark: SparkSession, df: DataFrame) -> DataFrame:
-    path = scratch_path(spark, "export")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
