@@ -401,3 +401,10 @@ def test_scratch_folder_is_the_shared_one(spark):
 def test_parse_keeps_every_message(spark):
     df = parse(messages(spark, product_message(1), "nonsense", ""), "products")
     assert df.count() == 3 and df.filter("readable").count() == 1
+
+
+def test_only_tables_in_few_parts_are_spread(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert tables.spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == cores
+    enough = spark.range(0, 10, 1, cores)
+    assert tables.spread(enough) is enough
