@@ -87,7 +87,7 @@ def references(counted: DataFrame) -> DataFrame:
 
 
 def _distance(counts: Column, reference: Column) -> Column:
-    """Jensen-Shannon distance of two histograms; null where one is empty."""
+    """Jensen-Shannon distance of two histograms; 0 where one is empty, as nothing is known then."""
 
     def total(xs: Column) -> Column:
         return F.aggregate(xs, F.lit(0).cast("bigint"), lambda a, x: a + x)

@@ -117,7 +117,8 @@ def _indexed(rows: DataFrame, masks: list[tuple[int, int]]) -> DataFrame:
         F.col("fingerprint").bitwiseAND(F.col("m.mask")).alias("key"),
         "fingerprint",
     )
-    return keyed.repartition("mask", "key").sortWithinPartitions("mask", "key", "fingerprint")
+    # choices differ in what they look at, even where their masks are the same
+    return keyed.repartition("choice", "mask", "key").sortWithinPartitions("choice", "mask", "key", "fingerprint")
 
 
 def _linker(most: int | None):
@@ -157,7 +158,7 @@ def _linker(most: int | None):
             value = value.astype("<i8").view(np.uint64)
             if not len(value):
                 continue
-            cuts = np.flatnonzero((mask[1:] != mask[:-1]) | (key[1:] != key[:-1])) + 1
+            cuts = np.flatnonzero((choice[1:] != choice[:-1]) | (mask[1:] != mask[:-1]) | (key[1:] != key[:-1])) + 1
             starts = np.concatenate(([0], cuts))
             ends = np.concatenate((cuts, [len(value)]))
             # of the runs inside the batch only those of two and more can hold a link
