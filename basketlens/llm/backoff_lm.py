@@ -7,6 +7,7 @@ documents sends to one hash range. A packet is answered with the corpus counts o
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -99,7 +100,10 @@ class Block:
 
 
 def _blocks(docs: DataFrame, path: str) -> DataFrame:
-    """Writes and rereads the documents in blocks: block, doc_ids, vocabulary (hashes), words, sizes, n_words."""
+    """Writes and rereads the documents in blocks: block, doc_ids, vocabulary (hashes), words, sizes, n_words.
+
+    The table is bucketed by block, so that scoring brings the answers to the blocks and shuffles no block.
+    """
     schema = T.StructType(
         [T.StructField("block", T.LongType()), T.StructField("doc_ids", T.ArrayType(docs.schema["doc_id"].dataType))]
         + [T.StructField(n, T.BinaryType()) for n in ("vocabulary", "words", "sizes")]
@@ -123,13 +127,17 @@ def _blocks(docs: DataFrame, path: str) -> DataFrame:
                 kept = pc.not_equal(words, "")
                 document = document[kept.to_numpy(zero_copy_only=False)]
                 coded = words.filter(kept).dictionary_encode()
-                hashes = [xxhash.xxh64_intdigest(w) for w in coded.dictionary.to_pylist()]
+                hashes = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.to_pylist()], np.uint64)
+                order = np.argsort(hashes)
+                rank = np.empty(len(order), np.uint32)
+                rank[order] = np.arange(len(order), dtype=np.uint32)
+                codes = coded.indices.to_numpy(zero_copy_only=False)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([block]),
                         pa.array([part.column(0).to_pylist()], pa.list_(part.column(0).type)),
-                        pa.array([_pack(np.array(hashes, np.uint64))]),
-                        pa.array([_pack(coded.indices.to_numpy(zero_copy_only=False).astype(np.uint32))]),
+                        pa.array([_pack(np.diff(hashes[order], prepend=np.uint64(0)))]),
+                        pa.array([_pack(rank[codes])]),
                         pa.array([_pack(np.bincount(document, minlength=len(part)).astype(np.int64))]),
                         pa.array([len(document)]),
                     ],
@@ -137,13 +145,16 @@ def _blocks(docs: DataFrame, path: str) -> DataFrame:
                 )
                 block += 1
 
-    docs.select("doc_id", whole_text().alias("text")).mapInArrow(task, schema).write.parquet(path)
-    return docs.sparkSession.read.schema(schema).parquet(path)
+    spark = docs.sparkSession
+    name, buckets = f"blocks_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    written = docs.select("doc_id", whole_text().alias("text")).mapInArrow(task, schema)
+    written.write.bucketBy(buckets, "block").option("path", path).saveAsTable(name)
+    return spark.table(name)
 
 
 def _opened(row: dict, order: int) -> tuple[Block, np.ndarray]:
     sizes = _unpack(row["sizes"], np.int64)
-    return Block(_unpack(row["vocabulary"], np.uint64), _unpack(row["words"], np.uint32), sizes, order), sizes
+    return Block(np.cumsum(_unpack(row["vocabulary"], np.uint64), dtype=np.uint64), _unpack(row["words"], np.uint32), sizes, order), sizes
 
 
 def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF) -> DataFrame:
