@@ -19,12 +19,22 @@ TIMESTAMP_FORMATS = (
 )
 
 
+# Digits with at most one point and an exponent; casts would also take NaN, 1d and 1f.
+_NUMBER = r"\A\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*\z"
+# A date with year, month and day; casts would also take 2024, and 12:00 as a time of today.
+_DATED = r"\A\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+
+
+def _shaped(c: Column, shape: str) -> Column:
+    return F.when(c.rlike(shape), c)
+
+
 def double(c: Column) -> Column:
-    return c.try_cast("double")
+    return _shaped(c, _NUMBER).try_cast("double")
 
 
 def real(c: Column) -> Column:
-    return c.try_cast("float")
+    return _shaped(c, _NUMBER).try_cast("float")
 
 
 def money(c: Column) -> Column:
@@ -40,11 +50,11 @@ def boolean(c: Column) -> Column:
 
 
 def date(c: Column) -> Column:
-    return c.try_cast("date")
+    return _shaped(c, _DATED).try_cast("date")
 
 
 def timestamp(c: Column) -> Column:
     """Point in time at second precision from ISO text, epoch seconds or one of the listed formats."""
     epoch = F.when(c.rlike(r"\A[0-9]{9,10}\z"), F.timestamp_seconds(c.try_cast("bigint")))
     listed = [F.try_to_timestamp(c, F.lit(fmt)) for fmt in TIMESTAMP_FORMATS]
-    return F.date_trunc("second", F.coalesce(epoch, c.try_cast("timestamp"), *listed))
+    return F.date_trunc("second", F.coalesce(epoch, _shaped(c, _DATED).try_cast("timestamp"), *listed))

@@ -35,42 +35,25 @@ FACT_COLUMNS = (
 )
 
 
-#: A looked-up table of at most this many narrow rows (an id and one or two short values, on the order of
-#: a hundred megabytes) is sent to every executor.
-BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
-    """Mark a table for broadcast after counting that it has no more than ``rows`` rows.
-
-    The optimizer's own estimate does not help here: it takes a join for the product of its inputs and
-    a deduplicated mart for all its versions. Beyond the bound the join stays an ordinary one.
-    """
-    if rows and df.count() <= rows:
-        return F.broadcast(df)
-    return df
-
-
 def enrich_items(
     purchases: DataFrame,
     products: DataFrame,
     stores: DataFrame,
     address: DataFrame,
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Purchase items with category, organic mark and store city.
 
     Stores and addresses are joined to each other first: the address mart also holds the addresses of
     all customers and would otherwise be joined to every item. Items are the kept side of both left
-    joins, so where a table is too large to broadcast, adaptive execution can split a product or store
-    that holds much of the data.
+    joins; adaptive execution broadcasts a looked-up table whose measured size allows it, and can split a
+    product or store that holds much of the data where it does not.
     """
     places = stores.select("store_id", "address_id").join(address.select("address_id", "city"), "address_id", "left")
     kinds = products.select("product_id", "category_name", "is_organic")
     return (
         purchases.select(*PURCHASE_COLUMNS)
-        .join(broadcast_if_small(kinds, broadcast_rows), "product_id", "left")
-        .join(broadcast_if_small(places.select("store_id", "city"), broadcast_rows), "store_id", "left")
+        .join(kinds, "product_id", "left")
+        .join(places.select("store_id", "city"), "store_id", "left")
     )
 
 

@@ -74,9 +74,8 @@ def item_conditions(config: FeatureConfig) -> dict[str, Column]:
 class Profile:
     """Customer-level measures by name; remembers which of them the chosen flags read."""
 
-    def __init__(self, config: FeatureConfig, categories: Sequence[str] | None = None) -> None:
+    def __init__(self, config: FeatureConfig) -> None:
         self.config = config
-        self.categories = categories
         self.conditions: dict[str, None] = {}
         self.breadths: dict[str, None] = {}
         self.fingerprints: dict[str, None] = {}
@@ -104,8 +103,6 @@ class Profile:
 
     def distinct(self, column: str) -> Column:
         """Number of distinct values, exactly."""
-        if column == "category_name" and self.categories:
-            return F.coalesce(self._measure("distinct_by_bit"), F.lit(0))
         self.breadths[column] = None
         return F.coalesce(self._measure(f"distinct_{column}"), F.lit(0))
 
@@ -218,34 +215,26 @@ Ask = Callable[[Profile], list[Column]]
 # seeds of the two halves of a fingerprint: two different values would have to agree in both hashes
 _SEEDS = (1, 2)
 
-MAX_BITS = 63
-
 
 class _Aggregation:
     """The aggregates behind the measures that a set of output columns reads."""
 
-    def __init__(self, config: FeatureConfig, ask: Ask, categories: Sequence[str] | None = None) -> None:
+    def __init__(self, config: FeatureConfig, ask: Ask) -> None:
         self.config = config
-        self.profile = Profile(config, categories)
+        self.profile = Profile(config)
         self.columns = ask(self.profile)
         self.bits = {name: 1 << i for i, name in enumerate(self.profile.conditions)}
         by_purchase = ("purchases", "mean_", "single_item")
         self.needs_purchases = any(m.startswith(by_purchase) for m in self.profile.measures)
-        self.needs_category_bits = "distinct_by_bit" in self.profile.measures
 
     def holds(self, condition: str) -> str:
         return f"bits & {self.bits[condition]}L != 0"
 
     def prepared(self, items: DataFrame) -> DataFrame:
-        """Items with their conditions, categories and fingerprints as numbers."""
+        """Items with their conditions and fingerprints as numbers."""
         conditions = item_conditions(self.config)
         items = items.withColumns({f"holds_{name}": conditions[name] for name in self.bits})
         added = {"bits": F.expr(" | ".join(["0L", *[f"if(holds_{name}, {bit}L, 0L)" for name, bit in self.bits.items()]]))}
-        if self.needs_category_bits:
-            items = items.withColumn(
-                "category_no", F.array_position(F.lit(list(self.profile.categories)), F.col("category_name"))
-            )
-            added["category_bits"] = F.expr("if(category_no > 0, shiftleft(1L, int(category_no) - 1), 0L)")
         for column in self.profile.fingerprints:
             for seed in _SEEDS:
                 added[f"{column}_{seed}"] = F.expr(f"if({column} IS NOT NULL, xxhash64({seed}, {column}), NULL)")
@@ -253,8 +242,6 @@ class _Aggregation:
 
     def _item_aggregates(self) -> list[Column]:
         out = [F.bit_or("bits").alias("bits")]
-        if self.needs_category_bits:
-            out.append(F.bit_or("category_bits").alias("category_bits"))
         if "last_purchase" in self.profile.measures:
             out.append(F.max("purchase_datetime").alias("last_purchase"))
         for column in self.profile.fingerprints:
@@ -267,6 +254,13 @@ class _Aggregation:
             out.append(F.count("total_amount").alias("amount_rows"))
         return out
 
+    def _merged(self, reduced: DataFrame) -> list[Column]:
+        """The item aggregates of rows that hold them already."""
+        merge = {"bits": F.bit_or, "last_purchase": F.max, "items": F.sum, "amount": F.sum, "amount_rows": F.sum}
+        merge |= {c: F.min for c in reduced.columns if c.endswith("_least")}
+        merge |= {c: F.max for c in reduced.columns if c.endswith("_greatest")}
+        return [how(c).alias(c) for c, how in merge.items() if c in reduced.columns]
+
     def by_grain(self, items: DataFrame) -> DataFrame:
         """Items to one row per customer and purchase (and per value of each column counted exactly)."""
         rows = self.prepared(items)
@@ -276,7 +270,9 @@ class _Aggregation:
             return rows.groupBy("customer_id", *keys).agg(*self._item_aggregates()).withColumn("grain", grain)
         grain = F.coalesce(*[F.when(F.grouping(k) == 0, F.lit(k)) for k in keys]).alias("grain")
         sets = [["customer_id", k] for k in keys]
-        return rows.groupingSets(sets, "customer_id", *keys).agg(*self._item_aggregates(), grain)
+        # items are reduced first: only what is left of them is copied for each grain
+        reduced = rows.groupBy("customer_id", *keys).agg(*self._item_aggregates())
+        return reduced.groupingSets(sets, "customer_id", *keys).agg(*self._merged(reduced), grain)
 
     def by_customer(self, rows: DataFrame) -> DataFrame:
         at_purchase = "grain = 'purchase_id'"
@@ -287,7 +283,6 @@ class _Aggregation:
             "mean_items": f"avg(if({at_purchase}, items, NULL))",
             "mean_amount": self._mean_amount(at_purchase),
             "last_purchase": "max(last_purchase)",
-            "distinct_by_bit": "bit_count(bit_or(category_bits))",
         }
         for c in self.bits:
             sql[f"any_{c}"] = f"bool_or({self.holds(c)})"
@@ -307,21 +302,13 @@ class _Aggregation:
         return f"try_divide(sum(if({at_purchase}, amount, NULL)), sum(if({at_purchase}, amount_rows, NULL)))"
 
 
-def category_names(products: DataFrame) -> list[str] | None:
-    """The category names of a catalogue, or None where they are too many for one bit each."""
-    rows = products.select("category_name").where("category_name IS NOT NULL").distinct().limit(MAX_BITS + 1).collect()
-    return sorted(row[0] for row in rows) if len(rows) <= MAX_BITS else None
-
-
-def customer_profile(
-    items: DataFrame, config: FeatureConfig, ask: Ask, categories: Sequence[str] | None = None
-) -> DataFrame:
+def customer_profile(items: DataFrame, config: FeatureConfig, ask: Ask) -> DataFrame:
     """One row per customer with purchases: ``customer_id`` and the columns built from a profile.
 
     ``ask`` receives the profile and returns columns over its measures, for example
     ``lambda m: [m.purchases("cash").alias("cash_purchases")]``. Only what it reads is computed.
     """
-    plan = _Aggregation(config, ask, categories)
+    plan = _Aggregation(config, ask)
     return plan.by_customer(plan.by_grain(items)).select("customer_id", *plan.columns)
 
 
@@ -330,12 +317,10 @@ def flags_from_items(
     items: DataFrame,
     config: FeatureConfig = FeatureConfig(),
     names: Iterable[str] | None = None,
-    categories: Sequence[str] | None = None,
 ) -> DataFrame:
     """``customer_id`` and the named flags (all thirty by default), one row per customer, no NULLs.
 
     ``items`` are enriched purchase items; only the aggregates the named flags need are computed.
-    ``categories`` are all category names that occur, at most 63, if they are known.
     """
     wanted = set(FLAG_NAMES if names is None else names)
 
@@ -344,7 +329,7 @@ def flags_from_items(
             F.coalesce(flag.rule(m, config), F.lit(False)).alias(flag.name) for flag in FLAGS if flag.name in wanted
         ]
 
-    plan = _Aggregation(config, ask, categories)
+    plan = _Aggregation(config, ask)
     profile = plan.by_customer(plan.by_grain(items))
     who = customers.select(
         "customer_id", F.to_date("registration_date").alias("registration_date"), "is_loyalty_member"
@@ -363,8 +348,7 @@ def customer_features(
 ) -> DataFrame:
     """The flags from the five marts, each already reduced to its current rows."""
     items = enrich_items(purchases, products, stores, address)
-    varied = names is None or "varied_shopper" in set(names)
-    return flags_from_items(customers, items, config, names, category_names(products) if varied else None)
+    return flags_from_items(customers, items, config, names)
 
 
 def family(name: str) -> tuple[str, ...]:

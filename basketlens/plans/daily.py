@@ -26,6 +26,6 @@ def run(
 ) -> str:
     """Publish the collections, drain the topics into the tables, write the report; returns its folder."""
     prepare(spark)
-    publish(collections, topics, masking, loaded_at or dt.datetime.now())
+    publish(collections, topics, masking, loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
     ingest(spark, topics, lake)
     return publish_report(spark, lake, target, features)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +16,7 @@ from basketlens.sinks.export import export_csv, result_name
 from basketlens.sources.tables import current_mart, read_mart
 from basketlens.streaming.ingest import Lake
 
+
 def report(spark: SparkSession, lake: Lake, config: FeatureConfig) -> DataFrame:
     """The flags of the current customers.
 
@@ -33,10 +35,10 @@ def report(spark: SparkSession, lake: Lake, config: FeatureConfig) -> DataFrame:
     return customer_features(current("customers"), current("purchases"), products, stores, address, config)
 
 
-def publish_report(
-    spark: SparkSession, lake: Lake, target: str, config: FeatureConfig, single_file_rows: int = 0
-) -> str:
+def publish_report(spark: SparkSession, lake: Lake, target: str, config: FeatureConfig) -> str:
     """Write the report below ``target`` (any file system Spark can reach) and return its folder."""
-    path = f"{target}/{result_name(config.as_of or dt.date.today())}"
-    export_csv(report(spark, lake, config), path, "customer_id", single_file_rows)
+    # the day is settled once, in UTC, for the name and for the flags
+    config = replace(config, as_of=config.as_of or dt.datetime.now(dt.timezone.utc).date())
+    path = f"{target}/{result_name(config.as_of)}"
+    export_csv(report(spark, lake, config), path, "customer_id")
     return path

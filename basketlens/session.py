@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import re
 import tempfile
 import uuid
 
@@ -27,16 +29,23 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="basketlens-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder for intermediate tables, under the shared folder of the cluster.
 
-    The folder is the session's ``spark.checkpoint.dir``, which every executor can reach. Only where
-    that is unset (tests on one machine) is a local temporary folder made and set instead.
+    The folder is the session's ``spark.checkpoint.dir``, which every executor can reach. Only a session
+    on one machine may do without: a temporary folder is made for it. On a cluster each executor would
+    write to its own disk, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="basketlens-"))
-        root = spark.sparkContext.getCheckpointDir()
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = _local_folder()
     return f"{root.rstrip('/')}/basketlens/{label}-{uuid.uuid4().hex}"
 
 

@@ -6,26 +6,17 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.session import staged
-
 
 def result_name(as_of: dt.date) -> str:
     # Fixed value: the form of the result name.
     return f"analytic_result_{as_of:%Y_%m_%d}"
 
 
-def export_csv(df: DataFrame, path: str, order_by: str, single_file_rows: int = 0) -> None:
+def export_csv(df: DataFrame, path: str, order_by: str) -> None:
     """CSV with header, overwriting, ordered by a column across its part files.
 
-    Rows are range-partitioned, so part files follow each other in order and no task holds the whole
-    result. A result of at most ``single_file_rows`` rows becomes one file: it is written to a
-    scratch table first, whose row count decides.
+    Rows are range-partitioned, so part files follow each other in order and no task holds the whole result.
     """
-    if single_file_rows:
-        df = staged(df, "export")
-        if df.count() <= single_file_rows:
-            df.coalesce(1).sortWithinPartitions(order_by).write.mode("overwrite").option("header", True).csv(path)
-            return
     df.orderBy(order_by).write.mode("overwrite").option("header", True).csv(path)
 
 

@@ -32,10 +32,12 @@ def write_monthly(df: DataFrame, path: str, order_key: str, load_column: str = "
 def write_batch(df: DataFrame, table: str, batch_id: int, *partition_by: str) -> str:
     """Write one micro-batch to its own folder and return the folder.
 
-    Appending parquet is not atomic; overwriting ``batch_id=<n>`` is repeatable, so a batch replayed
-    after a failure leaves the table as one successful run would.
+    Appending parquet is not atomic; overwriting ``run=<id>/batch_id=<n>`` is repeatable, so a batch replayed
+    after a failure leaves the table as one successful run would. The id is that of the stream, which is kept in its
+    checkpoint: a stream with a new checkpoint counts its batches anew but overwrites none of an earlier one.
     """
-    path = f"{table}/batch_id={batch_id}"
+    run = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+    path = f"{table}/run={run}/batch_id={batch_id}"
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return path

@@ -10,16 +10,6 @@ from basketlens import schemas
 from basketlens.operators import dedup
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a table that comes in fewer parts than there are cores.
-
-    A file of one row group is read by one task, and so is all that follows up to the next shuffle. Only
-    such small tables are shuffled; one in as many parts as cores, as any large table is, stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_monthly(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A table partitioned by ``load_month``. The schema is given: inference would read '202401' as a
     number."""
@@ -27,12 +17,12 @@ def read_monthly(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A table written batch by batch, without its batch numbers."""
-    return spark.read.schema(f"{schema}, batch_id bigint").parquet(path).drop("batch_id")
+    """A table written batch by batch, without the names of its streams and batches."""
+    return spark.read.schema(f"{schema}, run string, batch_id bigint").parquet(path).drop("run", "batch_id")
 
 
 def read_mart(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """All versions in a mart, written as ``view=<writer>/batch_id=<n>/load_month=<month>``."""
+    """All versions in a mart, written as ``view=<writer>/run=<id>/batch_id=<n>/load_month=<month>``."""
     return _mart_files(spark, path, name).drop("load_month")
 
 

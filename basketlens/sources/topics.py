@@ -9,27 +9,24 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Fixed value: messages per micro-batch and topic.
-BATCH_SIZE = 10_000
-
-
 @dataclass(frozen=True)
 class KafkaTopics:
-    """Topics of a broker. Needs the Kafka source on the class path."""
+    """Topics of a broker. Needs the Kafka source on the class path. A batch takes all that is there, unless it is
+    held to a number of messages."""
 
     servers: str
-    max_offsets_per_trigger: int = BATCH_SIZE
+    max_offsets_per_trigger: int | None = None
 
     def stream(self, spark: SparkSession, topics: Sequence[str]) -> DataFrame:
-        return (
+        reader = (
             spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", self.servers)
             .option("subscribe", ",".join(topics))
             .option("startingOffsets", "earliest")
-            .option("maxOffsetsPerTrigger", self.max_offsets_per_trigger)
-            .load()
-            .select("topic", F.col("value").cast("string").alias("value"))
         )
+        if self.max_offsets_per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", self.max_offsets_per_trigger)
+        return reader.load().select("topic", F.col("value").cast("string").alias("value"))
 
     def publish(self, messages: DataFrame, topic: str) -> None:
         (

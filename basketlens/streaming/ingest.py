@@ -111,8 +111,12 @@ def ingest(
         for e in entities
     ]
     if drain:
-        for query in running:
-            query.awaitTermination()
+        try:
+            for query in running:
+                query.awaitTermination()
+        finally:
+            for query in running:  # none goes on alone after another one has failed
+                query.stop()
     return running
 
 

@@ -1,16 +1,16 @@
 import datetime as dt
 import random
+import re
 from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from basketlens.config import FeatureConfig
-from basketlens.operators.fact import FACT_COLUMNS, broadcast_if_small, enrich_items, wide_fact
+from basketlens.operators.fact import FACT_COLUMNS, enrich_items, wide_fact
 from basketlens.operators.features import (
     FAMILIES,
     FLAG_NAMES,
-    category_names,
     customer_features,
     customer_profile,
     family,
@@ -258,20 +258,20 @@ def test_families_equal_the_full_result(spark):
         assert rows(part) == rows(full.select(*part.columns))
 
 
-def test_unknown_category_list_counts_exactly(spark):
+def test_breadth_is_exact_and_one_plan_for_any_catalogue(spark):
     customers = [(f"c{i}", at(10 * i), True) for i in range(45)]
     t = tables(spark, customers, scattered(4))
-    items = enrich_items(*[t[n] for n in ("purchases", "products", "stores", "address")])
-    known = flags_from_items(t["customers"], items, CONFIG, categories=category_names(t["products"]))
-    unknown = flags_from_items(t["customers"], items, CONFIG)
-    assert "Expand" in plan_of(unknown) and "Expand" not in plan_of(known)
-    assert rows(known) == rows(unknown)
-
-
-def test_large_catalogue_has_no_bit_per_category(spark):
-    many = spark.range(64).select(F.concat(F.lit("c"), "id").alias("category_name"))
-    assert category_names(many) is None
-    assert len(category_names(many.limit(63))) == 63
+    found = rows(customer_features(**t, config=CONFIG).select("customer_id", "varied_shopper"))
+    counts = t["purchases"].join(t["products"], "product_id").groupBy("customer_id").agg(F.count_distinct("category_name").alias("n"))
+    wanted = t["customers"].join(counts, "customer_id", "left").select("customer_id", F.expr("coalesce(n >= 4, false)"))
+    assert found == rows(wanted)
+    many = spark.range(200).select(F.concat(F.lit("p"), "id").alias("product_id"), F.concat(F.lit("c"), "id").alias("category_name"), F.lit(False).alias("is_organic"))
+    # the names of nodes of the plan, whatever the catalogue holds; building it starts no job
+    spark.sparkContext.setJobGroup("build", "build")
+    plans = [plan_of(customer_features(**{**t, "products": p}, config=CONFIG), "simple") for p in (t["products"], many)]
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    nodes = [re.findall(r"(HashAggregate|Expand)", p) for p in plans]
+    assert nodes[0] == nodes[1]
 
 
 def test_exact_breadth(spark):
@@ -305,22 +305,10 @@ def test_wide_fact_is_the_left_join_chain(spark):
     assert fact.columns == list(FACT_COLUMNS) and rows(fact) == rows(chain)
 
 
-def test_lookups_are_broadcast_only_within_their_bound(spark):
-    t = tables(spark, [("a", at(9), True)], [item("a", "p", "tea", at(3))])
-    marts = [t[n] for n in ("purchases", "products", "stores", "address")]
-    assert "rightHint=(strategy=broadcast)" in plan_of(broadcast_join(t, 6), "extended")
-    assert "strategy=broadcast" not in plan_of(broadcast_join(t, 5), "extended")
-    assert rows(enrich_items(*marts, broadcast_rows=0)) == rows(enrich_items(*marts))
-
-
-def broadcast_join(t, bound):
-    return t["purchases"].join(broadcast_if_small(t["products"], bound), "product_id", "left")
-
-
-def test_plan_is_hash_aggregation_without_copies(spark):
+def test_plan_is_hash_aggregation(spark):
     t = tables(spark, [("a", at(9), True)], [item("a", "p", "tea", at(3))])
     plan = plan_of(customer_features(**t, config=CONFIG))
-    assert "Expand" not in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "EvalPython" not in plan
 
 

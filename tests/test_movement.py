@@ -367,16 +367,6 @@ def test_export_parts_are_in_order(spark, tmp_path):
     assert rows(read_csv(spark, path, "customer_id string, even boolean")) == rows(df)
 
 
-def test_export_of_a_small_result_is_one_file(spark, tmp_path):
-    df = spark.range(0, 100, 1, 5).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("customer_id"))
-    for bound in (100, 99):
-        path = tmp_path / f"csv{bound}"
-        export_csv(df.orderBy(F.rand(1)), str(path), "customer_id", single_file_rows=bound)
-        assert read_csv(spark, str(path), "customer_id string").count() == 100
-    (only,) = (tmp_path / "csv100").glob("part-*.csv")
-    assert only.read_text().splitlines() == ["customer_id", *[f"{i:04d}" for i in range(100)]]
-
-
 def test_collection_scan_takes_any_format(spark, tmp_path):
     spark.range(3).write.orc(str(tmp_path / "o"))
     assert scan_collection(spark, str(tmp_path / "o"), "orc").count() == 3
@@ -403,8 +393,14 @@ def test_parse_keeps_every_message(spark):
     assert df.count() == 3 and df.filter("readable").count() == 1
 
 
-def test_only_tables_in_few_parts_are_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert tables.spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == cores
-    enough = spark.range(0, 10, 1, cores)
-    assert tables.spread(enough) is enough
+def test_a_new_checkpoint_overwrites_nothing(spark, tmp_path):
+    step = append_batches(f"{tmp_path}/rows")
+    for number, values in enumerate((["a", "b", "c"], ["d"])):
+        source = f"{tmp_path}/source{number}"
+        for value in values:  # a file and so a batch each
+            spark.createDataFrame([(value,)], "value string").coalesce(1).write.mode("append").text(source)
+        stream = spark.readStream.option("maxFilesPerTrigger", 1).text(source)
+        for _ in range(2):  # the second time nothing is new
+            start(stream, step, f"{tmp_path}/checkpoint{number}", f"rows{number}").awaitTermination()
+    found = tables.read_batches(spark, f"{tmp_path}/rows", "value string")
+    assert sorted(r.value for r in found.collect()) == ["a", "b", "c", "d"]

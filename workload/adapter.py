@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from basketlens.config import CategoryRoles, FeatureConfig
 from basketlens.session import prepare
-from basketlens.sources.tables import spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -222,8 +221,6 @@ class Supplied:
     def domain(self, name: str) -> DataFrame:
         text = DOMAIN[name].replace('"group"', "`group`")
         used = {t: self.table(t) for t in TABLES if "{" + t + "}" in text}
-        if "lineitem" in used:  # a single row group below some of the heaviest projections
-            used["lineitem"] = spread(used["lineitem"])
         return self.spark.sql(text, **used)
 
     def marts(self) -> dict[str, DataFrame]:

@@ -83,10 +83,15 @@ def _stream_ingest(s: Supplied) -> DataFrame:
 
 
 def _stream_replay(s: Supplied) -> DataFrame:
-    """The same stream from the start twice, as after a lost commit: batches land on themselves."""
+    """Every batch of a stream twice, as after a lost commit: batches land on themselves."""
     root = scratch_path(s.spark, "replay")
-    for attempt in ("first", "second"):
-        start(_event_stream(s), append_batches(f"{root}/events"), f"{root}/{attempt}", attempt).awaitTermination()
+    step = append_batches(f"{root}/events")
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        step(batch, batch_id)
+        step(batch, batch_id)
+
+    start(_event_stream(s), twice, f"{root}/checkpoint", "replay").awaitTermination()
     return read_batches(s.spark, f"{root}/events", EVENTS)
 
 
