@@ -230,15 +230,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of docs, all columns, with one of each component: that with the least doc_id (nulls last), of those
     with one doc_id the one whose text has the least hash. Rows alike in both are one."""
-    hash_, order = fresh(docs, "text_hash", "order")
-    named = docs.withColumn(hash_, F.xxhash64(whole_text()))
-    # hash_ comes along: doc_id alone need not name a row
-    rows = staged(signatures(named.select("doc_id", "text", hash_), "doc_id", hash_), "signatures")
-    best = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col(hash_).alias("text_hash"))
-    kept = grouped(rows, best).select("first.*").distinct()
-    kept = kept.select(F.when(~F.col("none"), F.col("doc_id")).alias("kept_id"), F.col("text_hash").alias("kept_hash"))
-    kept = staged(kept, "kept")
-    same = named["doc_id"].eqNullSafe(kept["kept_id"]) & (named[hash_] == kept["kept_hash"])
-    found = named.join(kept, same, "left_semi")
-    one = Window.partitionBy("doc_id", hash_).orderBy(F.lit(0))
-    return found.withColumn(order, F.row_number().over(one)).where(F.col(f"`{order}`") == 1).select(*[f"`{c}`" for c in docs.columns])
+    hash_, none, key, order = fresh(docs, "text_hash", "no_id", "id", "order")
+    # the key of the join is that of the window too, so the texts are shuffled once
+    named = docs.withColumns({hash_: F.xxhash64(whole_text()), none: F.col("doc_id").isNull(), key: F.coalesce("doc_id", F.lit(0))})
+    rows = staged(signatures(named.select("text", none, key, hash_), none, key, hash_), "signatures")
+    best = F.struct(*[F.col(c).alias(c) for c in (none, key, hash_)])
+    kept = staged(grouped(rows, best).select("first.*").distinct(), "kept")
+    found = named.join(kept, [none, key, hash_], "left_semi")
+    one = Window.partitionBy(none, key, hash_).orderBy(F.lit(0))
+    return found.withColumn(order, F.row_number().over(one)).where(F.col(order) == 1).select(*[f"`{c}`" for c in docs.columns])
