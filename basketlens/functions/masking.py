@@ -2,28 +2,48 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketlens.config import MaskingConfig
 from basketlens.functions.text import clean_email, clean_phone
 
-SALT_LENGTH = 12
+#: What the keys begin with wherever they stand, so that plans can hide them.
+KEY_MARK = "mask-key:"
+_REDACTION = "spark.sql.redaction.string.regex"
 
 #: field name -> cleaning applied before the digest
 PERSONAL_FIELDS: dict[str, Callable[[Column], Column]] = {"phone": clean_phone, "email": clean_email}
 
 
+def masking_keys(secret: str) -> tuple[str, str]:
+    """The inner and the outer key derived from a secret, which itself enters no plan."""
+    return tuple(KEY_MARK + hashlib.sha256(f"{use}:{secret}".encode()).hexdigest() for use in ("inner", "outer"))
+
+
 def keyed_digest(c: Column, secret: str) -> Column:
-    return F.sha2(F.concat(F.lit(secret), c), 256)
+    """Nested digest: unlike that of key and value alone, it cannot be extended."""
+    inner, outer = masking_keys(secret)
+    return F.sha2(F.concat(F.lit(outer), F.sha2(F.concat(F.lit(inner), c), 256)), 256)
 
 
 def random_digest(c: Column) -> Column:
-    """md5 of the value and a salt nobody keeps: the token cannot be traced back or joined."""
-    return F.md5(F.concat(c, F.upper(F.randstr(SALT_LENGTH))))
+    """md5 of the value and a salt nobody keeps: the token cannot be traced back or joined.
+
+    The salt comes from the secure generator of the JVM; a seeded function would put its seed into the plan.
+    """
+    return F.md5(F.concat(c, F.expr("reflect('java.util.UUID', 'randomUUID')")))
+
+
+def hide_keys(spark: SparkSession) -> None:
+    """Has Spark leave masking keys out of plan texts (explain, user interface, event log)."""
+    pattern, known = f"{KEY_MARK}[0-9a-f]+", spark.conf.get(_REDACTION, None)
+    if pattern not in (known or ""):
+        spark.conf.set(_REDACTION, f"{known}|{pattern}" if known else pattern)
 
 
 def digest(c: Column, config: MaskingConfig) -> Column:
@@ -69,4 +89,5 @@ def mask_documents(df: DataFrame, config: MaskingConfig) -> DataFrame:
     The schema is walked once on the driver and gives one projection, so the work per row stays in
     generated code.
     """
+    hide_keys(df.sparkSession)
     return df.select(*[_rewrite(F.col(f"`{f.name}`"), f, config).alias(f.name) for f in df.schema.fields])

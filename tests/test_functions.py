@@ -138,7 +138,10 @@ def test_keyed_masking_reaches_any_depth(spark):
     import hashlib
 
     def token(value):
-        return hashlib.sha256(("key" + value).encode()).hexdigest()
+        def digest(text):
+            return hashlib.sha256(text.encode()).hexdigest()
+
+        return digest("mask-key:" + digest("outer:key") + digest("mask-key:" + digest("inner:key") + value))
 
     first, second = _masked(spark, MaskingConfig("keyed", "key"))
     assert first["_id"] == "1" and first["n"] == 5
@@ -149,6 +152,17 @@ def test_keyed_masking_reaches_any_depth(spark):
     assert second["manager"] is None and second["tags"] is None
 
 
+@pytest.mark.parametrize("mode", ["keyed", "random"])
+def test_plans_hold_no_secret(spark, mode):
+    secret = "TOPSECRET"
+    df = spark.createDataFrame([("1", "a@b.c")], "_id string, email string")
+    masked = masking.mask_documents(df, MaskingConfig(mode, secret))
+    masked.collect()
+    plan = masked._jdf.queryExecution().toString()
+    assert "sha2" in plan or "md5" in plan
+    assert not any(hidden in plan for hidden in (secret, "randstr", *masking.masking_keys(secret)))
+
+
 def test_random_masking_is_not_joinable(spark):
     first, second = _masked(spark, MaskingConfig("random"))
     assert len(first["phone"]) == 32 and first["phone"] != second["phone"]

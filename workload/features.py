@@ -160,8 +160,9 @@ def _report_sql() -> str:
     )
 
 
-def _fact_sql(body: str) -> str:
-    return with_domain(*DOMAIN_NAMES, body=f", fact AS ({FACT.format(purchases='purchases')}) {body}")
+def _fact_sql(body: str, newest: bool = False) -> str:
+    fact = FACT.format(purchases="newest" if newest else "purchases")
+    return with_domain(*DOMAIN_NAMES, body=f", {NEWEST + ', ' if newest else ''}fact AS ({fact}) {body}")
 
 
 def all_purchases(s: Supplied) -> dict[str, DataFrame]:
@@ -178,9 +179,11 @@ def _flags(read: Callable[[Supplied], dict[str, DataFrame]], names=None, config=
     return lambda s: customer_features(**read(s), config=config, names=names)
 
 
-def _items(s: Supplied) -> DataFrame:
-    tables = s.marts()
-    return enrich_items(*[tables[name] for name in DOMAIN_NAMES[1:]])
+def _per_customer(s: Supplied, measure: Callable[[DataFrame], DataFrame], counted: list[str]) -> DataFrame:
+    """Measures of the items of the newest load, with the customers that bought nothing in it."""
+    tables = newest_purchases(s)
+    found = measure(enrich_items(*[tables[name] for name in DOMAIN_NAMES[1:]]))
+    return tables["customers"].select("customer_id").join(found, "customer_id", "left").fillna(0, counted)
 
 
 def _wide(s: Supplied) -> DataFrame:
@@ -188,14 +191,17 @@ def _wide(s: Supplied) -> DataFrame:
 
 
 def _profile(*ask: tuple[str, Callable]):
-    return lambda s: customer_profile(_items(s), CONFIG, lambda m: [read(m).alias(name) for name, read in ask])
+    def measure(items: DataFrame) -> DataFrame:
+        return customer_profile(items, CONFIG, lambda m: [read(m).alias(name) for name, read in ask])
+
+    # a share of no purchases stays NULL
+    return lambda s: _per_customer(s, measure, [name for name, _ in ask if not name.endswith("_share")])
 
 
-def _conditional_counts(s: Supplied) -> DataFrame:
+def _conditional_counts(items: DataFrame) -> DataFrame:
     c = F.col
     return (
-        _items(s)
-        .groupBy("customer_id")
+        items.groupBy("customer_id")
         .agg(
             F.count(F.when(c("category_name") == "standard", c("product_id"))).alias("vegetable_items"),
             F.count(F.when(c("category_name") == "promo", c("product_id"))).alias("meat_items"),
@@ -204,10 +210,9 @@ def _conditional_counts(s: Supplied) -> DataFrame:
     )
 
 
-def _basket_thresholds(s: Supplied) -> DataFrame:
+def _basket_thresholds(items: DataFrame) -> DataFrame:
     return (
-        _items(s)
-        .groupBy("customer_id")
+        items.groupBy("customer_id")
         .agg(
             F.sum("total_amount").alias("amount"),
             F.count("total_amount").alias("item_rows"),
@@ -251,8 +256,9 @@ CASES = [
         "weekend_share",
         _profile(("weekend_purchases", lambda m: m.purchases("weekend")), ("weekend_share", lambda m: m.share("weekend"))),
         _fact_sql(
-            "SELECT customer_id, n_weekend AS weekend_purchases, n_weekend / n AS weekend_share "
-            f"FROM ({MEASURES}) WHERE n > 0"
+            "SELECT customer_id, n_weekend AS weekend_purchases, n_weekend / nullif(n, 0) AS weekend_share "
+            f"FROM ({MEASURES})",
+            newest=True,
         ),
     ),
     Case(
@@ -264,7 +270,8 @@ CASES = [
         ),
         _fact_sql(
             "SELECT customer_id, n AS purchases, n_single AS single_item_purchases, mean_items "
-            f"FROM ({MEASURES}) JOIN ({BASKETS}) USING (customer_id) WHERE n > 0"
+            f"FROM ({MEASURES}) JOIN ({BASKETS}) USING (customer_id)",
+            newest=True,
         ),
     ),
     Case(
@@ -282,27 +289,28 @@ CASES = [
         _fact_sql(
             "SELECT customer_id, n AS purchases, n_month AS recent_purchases, n_cash AS cash_purchases, "
             "n_card AS card_purchases, n_fruit AS fruit_purchases, cities, categories, stores "
-            f"FROM ({MEASURES}) WHERE n > 0"
+            f"FROM ({MEASURES})",
+            newest=True,
         ),
     ),
     Case(
         "conditional_counts",
-        _conditional_counts,
+        lambda s: _per_customer(s, _conditional_counts, ["vegetable_items", "meat_items", "delivered_items"]),
         _fact_sql(
             "SELECT customer_id, count(CASE WHEN category_name = 'standard' THEN product_id END) AS vegetable_items, "
             "count(CASE WHEN category_name = 'promo' THEN product_id END) AS meat_items, "
-            "count(CASE WHEN is_delivery THEN 1 END) AS delivered_items FROM fact "
-            "WHERE purchase_id IS NOT NULL GROUP BY customer_id"
+            "count(CASE WHEN is_delivery THEN 1 END) AS delivered_items FROM fact GROUP BY customer_id",
+            newest=True,
         ),
     ),
     Case(
         "basket_thresholds",
-        _basket_thresholds,
+        lambda s: _per_customer(s, _basket_thresholds, ["item_rows"]),
         _fact_sql(
             "SELECT customer_id, CAST(sum(total_amount) AS DECIMAL(28,2)) AS amount, count(total_amount) AS item_rows, "
             "max(purchase_datetime) AS last_purchase, sum(total_amount) > 300000 * count(*) AS bulk_buyer, "
-            "sum(total_amount) < 150000 * count(*) AS low_cost_buyer FROM fact "
-            "WHERE purchase_id IS NOT NULL GROUP BY customer_id"
+            "sum(total_amount) < 150000 * count(*) AS low_cost_buyer FROM fact GROUP BY customer_id",
+            newest=True,
         ),
     ),
 ]

@@ -58,7 +58,8 @@ EMAIL_SQL = "nullif(lower(replace(email, ' ', '')), '')"
 
 
 def _keyed_sql(value: str) -> str:
-    return f"sha256('{SECRET}' || {value})"
+    inner, outer = masking.masking_keys(SECRET)
+    return f"sha256('{outer}' || sha256('{inner}' || {value}))"
 
 
 def _contacts(s: Supplied) -> DataFrame:
