@@ -1,4 +1,4 @@
-"""Nested documents to flat, all-text RAW rows."""
+"""Nested documents, typed or as JSON text, to flat, all-text RAW rows."""
 
 from __future__ import annotations
 
@@ -16,6 +16,14 @@ from basketlens.functions.text import join_list
 RECORD_SOURCE = "mongo_db:{database}_{collection}"
 
 
+def plain_number(text: Column) -> Column:
+    """A number written as 1.2E7 in plain digits; any other text, and what has too many digits, as it is."""
+    digits = F.rtrim(text.try_cast("decimal(38,18)").cast("string"), F.lit("0"))
+    whole = F.concat(digits, F.when(digits.endswith("."), "0").otherwise(""))
+    exact = whole.try_cast("double") == text.try_cast("double")
+    return F.when(text.rlike("^[-+0-9.]+[eE][-+0-9]+$") & exact & ~whole.rlike("[eE]"), whole).otherwise(text)
+
+
 def as_text(c: Column, kind: T.DataType) -> Column:
     """A leaf value as RAW text: 'True'/'False' for flags, '|'-joined lists, JSON for lists of objects.
 
@@ -25,7 +33,7 @@ def as_text(c: Column, kind: T.DataType) -> Column:
         return F.initcap(c.cast("string"))
     if isinstance(kind, T.ArrayType):
         return F.to_json(c) if isinstance(kind.elementType, T.StructType) else join_list(c)
-    return c.cast("string")
+    return plain_number(c.cast("string")) if isinstance(kind, (T.FloatType, T.DoubleType)) else c.cast("string")
 
 
 def flatten(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -55,11 +63,39 @@ def with_lineage(df: DataFrame, loaded_at: dt.datetime, database: str, collectio
     )
 
 
-def to_raw(documents: DataFrame, entity: str) -> DataFrame:
-    """Published documents of one entity as rows of its RAW table."""
+def _named_as_raw(flat: DataFrame, entity: str) -> DataFrame:
     return (
-        flatten(documents)
-        .withColumnsRenamed(schemas.RAW_RENAMES[entity])
+        flat.withColumnsRenamed(schemas.RAW_RENAMES[entity])
         .drop(*schemas.RAW_OMITTED.get(entity, ()))
         .withColumn("load_date", casts.timestamp(F.col("load_date")))
     )
+
+
+def to_raw(documents: DataFrame, entity: str) -> DataFrame:
+    """Published documents of one entity as rows of its RAW table."""
+    return _named_as_raw(flatten(documents), entity)
+
+
+def json_to_raw(documents: DataFrame, entity: str, column: str = "document") -> DataFrame:
+    """Documents held as a variant as rows of the RAW table of their entity.
+
+    Every value is taken as the text it has in the document, whatever its type there: a fraction where whole numbers
+    are usual, or a price in quotes, reaches RAW and is judged by the row checks. Items keep fields nobody lists.
+    """
+
+    def leaves(kind: T.StructType, path: str, prefix: str):
+        for f in kind.fields:
+            at, name = f"{path}.{f.name}", f"{prefix}{f.name}"
+            text = F.try_variant_get(column, at, "string")
+            if isinstance(f.dataType, T.StructType):
+                yield from leaves(f.dataType, at, f"{name}_")
+            elif isinstance(f.dataType, T.ArrayType) and not isinstance(f.dataType.elementType, T.StructType):
+                yield F.coalesce(join_list(F.try_variant_get(column, at, "array<string>")), text).alias(name)
+            elif isinstance(f.dataType, T.BooleanType):
+                yield F.initcap(text).alias(name)
+            else:
+                number = isinstance(f.dataType, T.NumericType)
+                yield (plain_number(text) if number else text).alias(name)
+
+    schema = T.StructType.fromDDL(schemas.DOCUMENTS[entity])
+    return _named_as_raw(documents.select(*leaves(schema, "$", "")), entity)

@@ -41,7 +41,7 @@ DOCUMENTS: dict[str, str] = {
         "_id string, purchase_id string, "
         "customer struct<customer_id: string, first_name: string, last_name: string>, "
         f"store struct<store_id: string, store_name: string, store_network: string, location: struct<{_PLACE}>>, "
-        "items array<struct<product_id: string, name: string, category: string, quantity: int, unit: string, "
+        "items array<struct<product_id: string, name: string, category: string, quantity: double, unit: string, "
         f"price_per_unit: double, total_price: double, kbju: struct<{_NUTRITION}>, manufacturer: struct<{_MAKER}>>>, "
         f"total_amount double, payment_method string, is_delivery boolean, delivery_address struct<{_DELIVERY}>, "
         f"purchase_datetime string, {_LINEAGE}"

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from basketlens import schemas
 from basketlens.operators import marts
-from basketlens.operators.flatten import to_raw
+from basketlens.operators.flatten import json_to_raw
 from basketlens.sinks.tables import by_month, load_month, write_batch
 
 #: Fixed value: a batch is at most this old before it is written.
@@ -46,15 +46,12 @@ class Lake:
         return f"{self.root}/checkpoints/{entity}"
 
 
-def parse(messages: DataFrame, entity: str) -> DataFrame:
-    """Message text with the document read from it; unreadable text is marked, not dropped."""
-    document = F.from_json(
-        "value",
-        f"{schemas.DOCUMENTS[entity]}, {schemas.CORRUPT} string",
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT},
-    )
+def parse(messages: DataFrame) -> DataFrame:
+    """Message text with the JSON object in it as a variant; text that holds none is marked, not dropped."""
+    document = F.try_parse_json("value")
+    is_object = F.col("value").rlike(r"\A\s*\{")
     return messages.select("value", document.alias("document")).withColumn(
-        "readable", F.col("document").isNotNull() & F.col(f"document.{schemas.CORRUPT}").isNull()
+        "readable", F.coalesce(F.col("document").isNotNull() & is_object, F.lit(False))
     )
 
 
@@ -76,9 +73,9 @@ def ingest_batch(entity: str, lake: Lake, keep_rejects: bool = True) -> Callable
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        parsed = parse(batch, entity).persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = parse(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            raw = to_raw(parsed.filter("readable").select("document.*").drop(schemas.CORRUPT), entity)
+            raw = json_to_raw(parsed.filter("readable"), entity)
             path = write_batch(by_month(raw, schemas.RAW_ORDER[entity]), lake.raw(entity), batch_id, "load_month")
             write_batch(parsed.filter("NOT readable").select("value"), lake.unreadable(entity), batch_id)
         finally:

@@ -9,7 +9,7 @@ from basketlens import schemas
 from basketlens.config import FeatureConfig, MaskingConfig
 from basketlens.functions.masking import mask_documents, masking_keys
 from basketlens.operators.features import FLAG_NAMES
-from basketlens.operators.flatten import flatten, to_raw, with_lineage
+from basketlens.operators.flatten import flatten, json_to_raw, to_raw, with_lineage
 from basketlens.plans import daily
 from basketlens.plans.publish import outgoing
 from basketlens.session import scratch_path
@@ -228,11 +228,27 @@ def test_unreadable_messages_are_kept_aside(spark, tmp_path):
     lake = Lake(str(tmp_path / "lake"))
     broken = product_message(2)[:-5]
     wrong_type = product_message(3).replace("55.7", '"dear"')
-    ingest_batch("products", lake)(messages(spark, product_message(1), broken, wrong_type, "", "[]"), 0)
-    assert spark.read.parquet(lake.raw("products")).select("product_id").collect() == [("prd-1",)]
+    ingest_batch("products", lake)(messages(spark, product_message(1), broken, wrong_type, "", "[]", "7"), 0)
+    raw = spark.read.parquet(lake.raw("products")).select("product_id", "price")
+    assert rows(raw, "product_id", "price") == [("prd-1", "55.7"), ("prd-3", "dear")]
     kept = {r["value"] for r in spark.read.parquet(lake.unreadable("products")).collect()}
-    assert {broken, wrong_type} <= kept
+    assert kept == {broken, "", "[]", "7"}
     assert tables.read_mart(spark, lake.mart("products"), "products").count() == 1
+    (refused,) = spark.read.parquet(lake.rejected("products")).collect()
+    assert refused["product_id"] == "prd-3" and refused["failed_rules"] == ["price"]
+
+
+def test_documents_reach_raw_as_they_are(spark):
+    item = {"product_id": "p", "quantity": 0.5, "price_per_unit": "12.5", "shelf": {"row": 7}}
+    document = {"purchase_id": "1", "items": [item], "total_amount": 12345678.9, "is_delivery": True, "store": None}
+    amounts = ["12345678.9", "1.23456789E7", '"12.5"', "0.0005", "5.0E-4", "1e300", "null"]
+    texts = [json.dumps(document).replace("12345678.9", a) for a in amounts]
+    parsed = parse(spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1))
+    found = json_to_raw(parsed, "purchases").collect()
+    wanted = ["12345678.9", "12345678.9", "12.5", "0.0005", "0.0005", "1.0E300", None]
+    assert [r["total_amount"] for r in found] == wanted
+    assert json.loads(found[0]["items"]) == [item] and found[0]["is_delivery"] == "True"
+    assert found[0]["store_store_id"] is None and found[0]["record_id"] is None
 
 
 def test_rejected_rows_are_kept_with_their_reason(spark, tmp_path):
@@ -395,7 +411,7 @@ def test_scratch_folder_is_the_shared_one(spark):
 
 
 def test_parse_keeps_every_message(spark):
-    df = parse(messages(spark, product_message(1), "nonsense", ""), "products")
+    df = parse(messages(spark, product_message(1), "nonsense", ""))
     assert df.count() == 3 and df.filter("readable").count() == 1
 
 

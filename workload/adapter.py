@@ -180,13 +180,17 @@ DOMAIN: dict[str, str] = {
                     ELSE '[{{"product_id": "' || CASE WHEN l_partkey % 53 = 0 THEN ''
                                                     ELSE 'prd-' || CAST(l_partkey AS STRING) END
                          || '", "quantity": ' || CAST(CAST(l_quantity AS INT) AS STRING)
+                         || CASE WHEN l_linenumber % 2 = 0 THEN '' ELSE '.5' END || ', "shelf": {{"row": 7}}'
                          || ', "unit": "' || CASE WHEN l_linenumber % 2 = 0 THEN 'ШТ ' ELSE ' kg' END
-                         || '", "price_per_unit": ' || CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING)
+                         || '", "price_per_unit": ' || CASE WHEN l_linenumber % 3 = 0 THEN '"' ELSE '' END
+                         || CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING)
+                         || CASE WHEN l_linenumber % 3 = 0 THEN '"' ELSE '' END
                          || ', "total_price": ' || CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 2 AS STRING)
                          || '}}, {{"product_id": "gift-' || CAST(l_linenumber AS STRING)
                          || '", "quantity": 1, "unit": "шт", "price_per_unit": 0, "total_price": 0}}]'
                     END AS items,
                CASE WHEN l_orderkey % 59 = 0 THEN '0' WHEN l_orderkey % 61 = 0 THEN 'unknown'
+                    WHEN l_orderkey % 67 = 0 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 1000 AS STRING)
                     ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) END AS total_amount,
                CASE o_orderstatus WHEN 'F' THEN ' CASH' WHEN 'O' THEN 'Card ' ELSE 'Other' END AS payment_method,
                CASE WHEN l_returnflag = 'R' THEN 'True' ELSE 'False' END AS is_delivery,

@@ -57,7 +57,7 @@ PHONE_SQL = """
 EMAIL_SQL = "nullif(lower(replace(email, ' ', '')), '')"
 
 
-def _keyed_sql(value: str) -> str:
+def keyed_sql(value: str) -> str:
     inner, outer = masking.masking_keys(SECRET)
     return f"sha256('{outer}' || sha256('{inner}' || {value}))"
 
@@ -186,7 +186,7 @@ CASES = [
         _masked(KEYED),
         with_domain(
             "raw_customers",
-            body=f"SELECT customer_id, {_keyed_sql(PHONE_SQL)} AS phone, {_keyed_sql(EMAIL_SQL)} AS email FROM raw_customers",
+            body=f"SELECT customer_id, {keyed_sql(PHONE_SQL)} AS phone, {keyed_sql(EMAIL_SQL)} AS email FROM raw_customers",
         ),
     ),
     Case(
@@ -206,8 +206,8 @@ CASES = [
         _mask_nested,
         with_domain(
             "raw_customers",
-            body=f"""SELECT customer_id AS _id, {_keyed_sql(PHONE_SQL)} AS phone, customer_id AS manager_name,
-                {_keyed_sql(EMAIL_SQL)} AS manager_email, {_keyed_sql(PHONE_SQL)} AS first_contact,
+            body=f"""SELECT customer_id AS _id, {keyed_sql(PHONE_SQL)} AS phone, customer_id AS manager_name,
+                {keyed_sql(EMAIL_SQL)} AS manager_email, {keyed_sql(PHONE_SQL)} AS first_contact,
                 CAST(NULL AS VARCHAR) AS second_contact, 'work' AS first_kind, email AS note FROM raw_customers""",
         ),
     ),
