@@ -1,7 +1,7 @@
 """Stupid-backoff scores from n-gram count tables partitioned by hash.
 
 The relation of exploded n-grams is kept in packets: one row holds all different n-gram hashes that a block of
-documents sends to one hash range. A packet is answered with the corpus counts of its hashes, in order.
+documents sends to one hash range. A packet is answered with the counts its hashes have in the other blocks, in order.
 """
 
 from __future__ import annotations
@@ -199,8 +199,9 @@ def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF) -> Dat
         counts = np.concatenate([_unpack(c, np.uint32) for c in packets["counts"]])
         table, inverse = np.unique(np.concatenate(grams), return_inverse=True)
         totals = np.bincount(inverse, weights=counts, minlength=len(table)).astype(np.int64)[inverse]
-        parts = np.split(totals, np.cumsum([len(g) for g in grams])[:-1])
-        return pd.DataFrame({"block": packets["block"], "range": packets["range"], "totals": [_pack(p) for p in parts]})
+        # the asker knows its own counts; what other blocks add is zero for most n-grams, so it packs small
+        parts = np.split(totals - counts, np.cumsum([len(g) for g in grams])[:-1])
+        return pd.DataFrame({"block": packets["block"], "range": packets["range"], "elsewhere": [_pack(p) for p in parts]})
 
     key = docs.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("doc_id", key), T.StructField("n_words", T.LongType()), T.StructField("log_score", T.DoubleType())])
@@ -208,11 +209,11 @@ def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF) -> Dat
     def score(asked: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         row = asked.iloc[0].to_dict()
         own, sizes = _opened(row, order)
-        found = [_unpack(t, np.int64) for t in answers.sort_values("range")["totals"]]
-        totals = np.concatenate(found) if found else np.zeros(0, np.int64)
+        found = [_unpack(t, np.int64) for t in answers.sort_values("range")["elsewhere"]]
+        totals = own.counts() + (np.concatenate(found) if found else np.zeros(0, np.int64))
         return pd.DataFrame({"doc_id": row["doc_ids"], "n_words": sizes, "log_score": own.scores(totals, corpus_words, sizes, backoff)})
 
     packets = blocks.select("block", "vocabulary", "words", "sizes").mapInArrow(ask, "range int, block long, grams binary, counts binary")
-    answered = packets.groupBy("range").applyInPandas(answer, "block long, range int, totals binary")
+    answered = packets.groupBy("range").applyInPandas(answer, "block long, range int, elsewhere binary")
     scored = blocks.groupBy("block").cogroup(answered.groupBy("block")).applyInPandas(score, schema)
     return scored.select("*", (F.col("log_score") / F.nullif("n_words", F.lit(0))).alias("mean_log_score"))
