@@ -15,7 +15,10 @@ TIMESTAMP_FORMATS = (
     "yyyy/MM/dd",
     "dd MMM yyyy HH:mm:ss",
     "dd MMM yyyy",
+    "MMM d yyyy HH:mm:ss",
+    "MMM d yyyy",
     "yyyyMMddHHmmss",
+    "yyyyMMdd",
 )
 
 
@@ -54,7 +57,8 @@ def date(c: Column) -> Column:
 
 
 def timestamp(c: Column) -> Column:
-    """Point in time at second precision from ISO text, epoch seconds or one of the listed formats."""
-    epoch = F.when(c.rlike(r"\A[0-9]{9,10}\z"), F.timestamp_seconds(c.try_cast("bigint")))
+    """Point in time at second precision from ISO text, epoch seconds or milliseconds, or one of the listed formats."""
+    seconds = F.when(c.rlike(r"\A[0-9]{9,10}\z"), F.timestamp_seconds(c.try_cast("bigint")))
+    epoch = F.coalesce(seconds, F.when(c.rlike(r"\A[0-9]{13}\z"), F.timestamp_millis(c.try_cast("bigint"))))
     listed = [F.try_to_timestamp(c, F.lit(fmt)) for fmt in TIMESTAMP_FORMATS]
     return F.date_trunc("second", F.coalesce(epoch, _shaped(c, _DATED).try_cast("timestamp"), *listed))

@@ -76,6 +76,12 @@ def test_timestamp_notations(spark):
         ("2024/03/05 10:20:30", moment),
         ("20240305102030", moment),
         ("1709634030", moment),
+        ("1709634030500", moment),
+        ("Mar 5 2024", dt.datetime(2024, 3, 5)),
+        ("Mar 5 2024 10:20:30", moment),
+        ("20240305", dt.datetime(2024, 3, 5)),
+        ("12:00", None),
+        ("2024", None),
         ("2024-03-05", dt.datetime(2024, 3, 5)),
         ("05.03.2024", dt.datetime(2024, 3, 5)),
         ("yesterday", None),
