@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The columns the fact takes from purchases, and its own.
 PURCHASE_COLUMNS = (
     "purchase_id",
     "store_id",

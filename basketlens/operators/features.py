@@ -164,7 +164,7 @@ def _fruit_lover(m: Profile, c: FeatureConfig) -> Column:
     return m.any("fruit_month").cast("int") >= c.fruit_purchases
 
 
-#: In output order.
+#: The names of the flags, in output order.
 FLAGS: tuple[Flag, ...] = (
     Flag("bought_milk_last_30d", "recency", lambda m, c: m.any("dairy_month")),
     Flag("bought_fruits_last_14d", "recency", lambda m, c: m.any("fruit_fortnight")),

@@ -1,4 +1,7 @@
-"""Schemas of the source documents, the RAW tables and the MART tables, as DDL text."""
+"""Schemas of the source documents, the RAW tables and the MART tables, as DDL text.
+
+Fixed values: the names of fields, columns and tables.
+"""
 
 from __future__ import annotations
 

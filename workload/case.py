@@ -54,4 +54,5 @@ def sql_filled(*columns: str) -> str:
 
 
 def sql_category(column: str) -> str:
+    # fixed values: the characters before category names
     return f"lower(ltrim(ltrim({column}, '🥖, 🥩, 🥛'), '🍏 ,🥦'))"
