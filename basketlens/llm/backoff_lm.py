@@ -2,6 +2,8 @@
 
 The relation of exploded n-grams is kept in packets: one row holds all different n-gram hashes that a block of
 documents sends to one hash range. A packet is answered with the counts its hashes have in the other blocks, in order.
+Longer n-grams go in later rounds: one is sent only if both shorter n-grams in it occur in other blocks, since it
+cannot occur there otherwise. Blocks that share an n-gram share these too, so all of them send it.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketlens.llm.shared import ship, whole_text
-from basketlens.session import scratch_path
+from basketlens.session import scratch_path, staged
 
 ORDER, BACKOFF = 3, 0.4
 #: Characters of a block of documents (one document may be longer), and n-grams of a hash range.
@@ -74,6 +76,22 @@ class Block:
             own[at], inverse = inverse[: at.sum()], inverse[at.sum() :]
             self.number.append(own)
 
+    def sent(self, round_: int, elsewhere: np.ndarray) -> np.ndarray:
+        """The n-grams, ascending, of a round: first those of one and two words, then of one word more in each."""
+        if not round_:
+            return np.unique(np.concatenate([number[at] for number, at in zip(self.number[:2], self.at[:2])]))
+        n = round_ + 1
+        at, shorter = self.at[n], self.number[n - 1]
+        known = (elsewhere[shorter] > 0)[at] & (elsewhere[np.roll(shorter, 1)] > 0)[at] if len(shorter) else at
+        return np.unique(self.number[n][at][known])
+
+    def elsewhere(self, answers: pd.DataFrame) -> np.ndarray:
+        """The counts in other blocks, as far as the answers to the rounds so far tell; zero for what was not sent."""
+        found = np.zeros(len(self.grams), np.int64)
+        for round_, packets in answers.sort_values(["round", "range"]).groupby("round"):
+            found[self.sent(round_, found)] = np.concatenate([_unpack(t, np.int64) for t in packets["elsewhere"]])
+        return found
+
     def counts(self) -> np.ndarray:
         both = [number[at] for number, at in zip(self.number, self.at)]
         return np.bincount(np.concatenate(both), minlength=len(self.grams))
@@ -171,27 +189,32 @@ def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF) -> Dat
     ship(spark)
     blocks = _blocks(docs, scratch_path(spark, "blocks"))
     corpus_words = blocks.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
-    ranges = 1 << max(0, math.ceil(math.log2(max(1, corpus_words * order / RANGE_GRAMS))))
-    shift = np.uint64(64 - int(math.log2(ranges)))
-
-    def cuts(grams: np.ndarray) -> np.ndarray:
-        """Where the n-grams of each hash range begin, with the end."""
-        place = (grams >> shift).astype(np.int64) if ranges > 1 else np.zeros(len(grams), np.int64)
-        return np.searchsorted(place, np.arange(ranges + 1))
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def packets_of(own: Block, block: int, round_: int, elsewhere: np.ndarray) -> pd.DataFrame:
+        """What a block sends in a round, one row for each hash range."""
+        lengths = min(order, 2) if not round_ else 1
+        bits = max(0, math.ceil(math.log2(max(1, corpus_words * lengths / RANGE_GRAMS))))
+        sent = own.sent(round_, elsewhere)
+        grams, counts = own.grams[sent], own.counts()[sent].astype(np.uint32)
+        place = (grams >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(grams), np.int64)
+        bounds, rows = np.searchsorted(place, np.arange((1 << bits) + 1)), []
+        for r in np.flatnonzero(np.diff(bounds)).tolist():
+            some = slice(bounds[r], bounds[r + 1])
+            rows.append((r, block, _pack(np.diff(grams[some], prepend=np.uint64(0))), _pack(counts[some])))
+        return pd.DataFrame(rows, columns=["range", "block", "grams", "counts"])
+
+    def ask_first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row in batch.to_pylist():
-                own, _ = _opened(row, order)
-                counts, bounds = own.counts().astype(np.uint32), cuts(own.grams)
-                packets = []
-                for r in np.flatnonzero(np.diff(bounds)).tolist():
-                    some = own.grams[bounds[r] : bounds[r + 1]]
-                    packets.append((r, row["block"], _pack(np.diff(some, prepend=np.uint64(0))), _pack(counts[bounds[r] : bounds[r + 1]])))
-                if packets:
-                    kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
-                    columns = [pa.array(c, k) for c, k in zip(zip(*packets), kinds)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["range", "block", "grams", "counts"])
+            for row in batch.to_dict("records"):
+                own, _ = _opened(row, min(order, 2))
+                yield packets_of(own, row["block"], 0, np.zeros(0))
+
+    def ask(round_: int):
+        def task(asked: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+            own, _ = _opened(asked.iloc[0].to_dict(), round_ + 2)
+            return packets_of(own, asked["block"].iloc[0], round_, own.elsewhere(answers))
+
+        return task
 
     def answer(packets: pd.DataFrame) -> pd.DataFrame:
         # the count table of one hash range
@@ -209,11 +232,18 @@ def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF) -> Dat
     def score(asked: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         row = asked.iloc[0].to_dict()
         own, sizes = _opened(row, order)
-        found = [_unpack(t, np.int64) for t in answers.sort_values("range")["elsewhere"]]
-        totals = own.counts() + (np.concatenate(found) if found else np.zeros(0, np.int64))
+        totals = own.counts() + own.elsewhere(answers)
         return pd.DataFrame({"doc_id": row["doc_ids"], "n_words": sizes, "log_score": own.scores(totals, corpus_words, sizes, backoff)})
 
-    packets = blocks.select("block", "vocabulary", "words", "sizes").mapInArrow(ask, "range int, block long, grams binary, counts binary")
-    answered = packets.groupBy("range").applyInPandas(answer, "block long, range int, elsewhere binary")
-    scored = blocks.groupBy("block").cogroup(answered.groupBy("block")).applyInPandas(score, schema)
+    coded, packet = blocks.select("block", "vocabulary", "words", "sizes"), "range int, block long, grams binary, counts binary"
+    answers = None
+    for round_ in range(max(1, order - 1)):
+        if answers is None:
+            packets = coded.mapInPandas(ask_first, packet)
+        else:
+            packets = coded.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(ask(round_), packet)
+        answered = packets.groupBy("range").applyInPandas(answer, "block long, range int, elsewhere binary")
+        answered = staged(answered.withColumn("round", F.lit(round_)), "answers")
+        answers = answered if answers is None else answers.union(answered)
+    scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(score, schema)
     return scored.select("*", (F.col("log_score") / F.nullif("n_words", F.lit(0))).alias("mean_log_score"))
