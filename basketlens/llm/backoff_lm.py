@@ -78,12 +78,15 @@ class Block:
 
     def sent(self, round_: int, elsewhere: np.ndarray) -> np.ndarray:
         """The n-grams, ascending, of a round: first those of one and two words, then of one word more in each."""
+        chosen = np.zeros(len(self.grams), bool)
         if not round_:
-            return np.unique(np.concatenate([number[at] for number, at in zip(self.number[:2], self.at[:2])]))
-        n = round_ + 1
-        at, shorter = self.at[n], self.number[n - 1]
-        known = (elsewhere[shorter] > 0)[at] & (elsewhere[np.roll(shorter, 1)] > 0)[at] if len(shorter) else at
-        return np.unique(self.number[n][at][known])
+            for number, at in zip(self.number[:2], self.at[:2]):
+                chosen[number[at]] = True
+        elif len(self.grams):
+            n = round_ + 1
+            at, known = self.at[n], (elsewhere > 0)[self.number[n - 1]]
+            chosen[self.number[n][at & known & np.roll(known, 1)]] = True
+        return np.flatnonzero(chosen)
 
     def elsewhere(self, answers: pd.DataFrame) -> np.ndarray:
         """The counts in other blocks, as far as the answers to the rounds so far tell; zero for what was not sent."""
