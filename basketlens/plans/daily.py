@@ -7,10 +7,12 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from basketlens import schemas
 from basketlens.config import FeatureConfig, MaskingConfig
 from basketlens.plans.publish import publish
 from basketlens.plans.report import publish_report
 from basketlens.session import prepare
+from basketlens.sinks.retention import expire
 from basketlens.streaming.ingest import Lake, ingest
 
 
@@ -23,9 +25,18 @@ def run(
     masking: MaskingConfig,
     features: FeatureConfig = FeatureConfig(),
     loaded_at: dt.datetime | None = None,
+    retention_months: int | None = 12,
 ) -> str:
-    """Publish the collections, drain the topics into the tables, write the report; returns its folder."""
+    """Publish the collections, drain the topics into the tables, write the report; returns its folder.
+
+    RAW months of which every row is `retention_months` old are deleted after that (None: nothing is).
+    """
     prepare(spark)
-    publish(collections, topics, masking, loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+    loaded_at = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    publish(collections, topics, masking, loaded_at)
     ingest(spark, topics, lake)
-    return publish_report(spark, lake, target, features)
+    path = publish_report(spark, lake, target, features)
+    if retention_months is not None:
+        for entity in schemas.ENTITIES:
+            expire(spark, lake.raw(entity), loaded_at.date(), retention_months, above=2)
+    return path

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from basketlens.config import FeatureConfig
 from basketlens.operators.dedup import latest_by_key
+from basketlens.operators.fact import PURCHASE_COLUMNS
 from basketlens.operators.features import customer_features
 from basketlens.schemas import MART_KEYS
 from basketlens.session import staged
@@ -20,8 +21,8 @@ from basketlens.streaming.ingest import Lake
 def report(spark: SparkSession, lake: Lake, config: FeatureConfig) -> DataFrame:
     """The flags of the current customers.
 
-    The looked-up tables are narrowed, versioned and staged once: each is read several times, and the
-    address mart holds the addresses of all customers while only those of stores are needed.
+    The looked-up tables and the purchases are narrowed, versioned and staged once: each is read several times, and
+    the address mart holds the addresses of all customers while only those of stores are needed.
     """
 
     def current(name: str) -> DataFrame:
@@ -32,7 +33,8 @@ def report(spark: SparkSession, lake: Lake, config: FeatureConfig) -> DataFrame:
     written = read_mart(spark, lake.mart("address"), "address").select("address_id", "city", "load_date")
     of_stores = written.join(stores.select("address_id").distinct(), "address_id", "left_semi")
     address = staged(latest_by_key(of_stores, MART_KEYS["address"]), "address")
-    return customer_features(current("customers"), current("purchases"), products, stores, address, config)
+    purchases = staged(current("purchases").select(*PURCHASE_COLUMNS), "purchases")
+    return customer_features(current("customers"), purchases, products, stores, address, config)
 
 
 def publish_report(spark: SparkSession, lake: Lake, target: str, config: FeatureConfig) -> str:

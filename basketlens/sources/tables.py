@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from basketlens import schemas
 from basketlens.operators import dedup
@@ -16,6 +18,30 @@ def read_monthly(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(f"{schema}, load_month string").parquet(path)
 
 
+def month_folders(spark: SparkSession, path: str, above: int = 0) -> dict[str, list[str]]:
+    """The folders of each load month of a table, with `above` levels of folders over them. Names are listed, no file."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{'*/' * above}load_month=*")
+    files = pattern.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    folders: dict[str, list[str]] = {}
+    for status in files.globStatus(pattern) or ():
+        folder = status.getPath().toString()
+        month = re.search(r"/load_month=(\d{6})\Z", folder)
+        if month:
+            folders.setdefault(month[1], []).append(folder)
+    return folders
+
+
+def _of_newest_month(table: DataFrame, path: str, above: int = 0) -> DataFrame:
+    """Rows of the newest month, which is told by the names of folders: the scan has a constant filter."""
+    newest = max(month_folders(table.sparkSession, path, above), default=None)
+    return table.filter(F.lit(False) if newest is None else F.col("load_month") == newest)
+
+
+def newest_monthly(spark: SparkSession, path: str, schema: str, load_column: str = "load_date") -> DataFrame:
+    """The newest load of a monthly table; no other month is read."""
+    return dedup.latest_snapshot(_of_newest_month(read_monthly(spark, path, schema), path), load_column)
+
+
 def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A table written batch by batch, without the names of its streams and batches."""
     return spark.read.schema(f"{schema}, run string, batch_id bigint").parquet(path).drop("run", "batch_id")
@@ -40,7 +66,7 @@ def current_mart(spark: SparkSession, path: str, name: str) -> DataFrame:
     keys = schemas.MART_KEYS[name]
     if name == "address":
         return dedup.latest_by_key(read_mart(spark, path, name), keys)
-    newest = dedup.latest_snapshot(_mart_files(spark, path, name), partition_column="load_month")
+    newest = dedup.latest_snapshot(_of_newest_month(_mart_files(spark, path, name), path, above=3))
     return dedup.latest_by_key(newest.drop("load_month"), keys)
 
 

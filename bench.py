@@ -33,6 +33,9 @@ HEADLINE = (
     "mask_nested",
     "flatten_struct",
     "monthly_partition_write",
+    "report_from_raw",
+    "csv_export",
+    "mv_incremental",
     "stream_ingest",
     "stream_route",
 )

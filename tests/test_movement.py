@@ -367,6 +367,30 @@ def test_current_mart_reads_the_newest_month_only(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(load_month" in plan_of(found)
 
 
+def test_newest_month_is_told_by_folder_names(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "id int, load_date timestamp"
+    df = spark.createDataFrame([(1, LOADED), (2, dt.datetime(2024, 3, 1)), (3, None)], schema)
+    write_monthly(df, path, "id")
+    found = tables.newest_monthly(spark, path, schema)
+    assert rows(found, "id") == [(1,)]
+    assert "PartitionFilters: []" not in plan_of(found)
+    (tmp_path / "none").mkdir()
+    assert tables.newest_monthly(spark, str(tmp_path / "none"), schema).count() == 0
+
+
+def test_expired_months_are_deleted(spark, tmp_path):
+    from basketlens.sinks.retention import expire, first_kept
+
+    assert [first_kept(dt.date(2024, 1, 31), n) for n in (0, 1, 12, 14)] == ["202401", "202312", "202301", "202211"]
+    path, schema = str(tmp_path / "t"), "id int, load_date timestamp"
+    days = [LOADED, dt.datetime(2023, 5, 1), dt.datetime(2023, 4, 30), dt.datetime(2022, 12, 1), None]
+    write_monthly(spark.createDataFrame(list(enumerate(days)), schema), path, "id")
+    deleted = expire(spark, path, dt.date(2024, 5, 2))
+    assert [folder[-6:] for folder in deleted] == ["202212", "202304"]
+    assert rows(tables.read_monthly(spark, path, schema), "id") == [(0,), (1,), (4,)]
+    assert expire(spark, path, dt.date(2024, 5, 2)) == []
+
+
 def test_rows_within_a_month_are_ordered(spark):
     df = spark.createDataFrame([(2, LOADED), (1, LOADED), (3, dt.datetime(2024, 4, 1))], "id int, load_date timestamp")
     assert "REBALANCE_PARTITIONS_BY_COL" in plan_of(by_month(df, "id"))

@@ -140,7 +140,7 @@ def _report_from_raw(s: Supplied) -> DataFrame:
     return customer_features(**current, config=RAW_CONFIG)
 
 
-def _report_sql() -> str:
+def report_sql() -> str:
     ties = ", ".join(f"{c} DESC NULLS LAST" for c in PURCHASE_TIES)
     measures = MEASURES
     for name in RAW_ROLES:
@@ -240,7 +240,7 @@ CASES = [
         Case(f"features_{name}", _flags(newest_purchases, family(name)), flags_sql(family(name), newest=True))
         for name in FAMILIES
     ],
-    Case("report_from_raw", _report_from_raw, _report_sql()),
+    Case("report_from_raw", _report_from_raw, report_sql()),
     Case("wide_fact", _wide, _fact_sql("SELECT * FROM fact")),
     Case(
         "recency_flags",

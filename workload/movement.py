@@ -13,18 +13,20 @@ from basketlens import schemas
 from basketlens.config import MaskingConfig
 from basketlens.operators import dedup
 from basketlens.operators.features import FLAG_NAMES, customer_features
+from basketlens.plans import daily
 from basketlens.plans.publish import publish
 from basketlens.session import scratch_path
 from basketlens.sinks.export import export_csv, read_csv
 from basketlens.sinks.messages import to_messages
+from basketlens.sinks.retention import expire
 from basketlens.sinks.tables import write_monthly
 from basketlens.sources.documents import readable, scan_collection, scan_json
-from basketlens.sources.tables import read_batches, read_mart, read_monthly
+from basketlens.sources.tables import newest_monthly, read_batches, read_mart, read_monthly
 from basketlens.sources.topics import FileTopics
 from basketlens.streaming.ingest import Lake, append_batches, ingest, route, start
-from workload.adapter import CONFIG, Supplied
+from workload.adapter import AS_OF, CONFIG, Supplied
 from workload.case import Case, plain_times, with_domain
-from workload.features import flags_sql, newest_purchases
+from workload.features import RAW_CONFIG, flags_sql, newest_purchases, report_sql
 from workload.marts import (
     SQL_ADDRESS,
     SQL_CUSTOMERS,
@@ -54,16 +56,27 @@ def _messages(s: Supplied) -> DataFrame:
     return to_messages(s.table("orders")).select(read_back.alias("d")).select("d.*")
 
 
-def _monthly(s: Supplied) -> DataFrame:
+def _written_monthly(s: Supplied) -> tuple[str, str]:
+    """Line items as a monthly table: its folder and schema."""
     path = scratch_path(s.spark, "monthly")
     items = s.table("lineitem").withColumnRenamed("l_shipdate", "load_date")
     write_monthly(items, path, "l_orderkey")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in items.schema.fields)
-    return read_monthly(s.spark, path, schema)
+    return path, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in items.schema.fields)
+
+
+def _monthly(s: Supplied) -> DataFrame:
+    return read_monthly(s.spark, *_written_monthly(s))
 
 
 def _monthly_newest(s: Supplied) -> DataFrame:
-    return dedup.latest_snapshot(_monthly(s), partition_column="load_month")
+    return newest_monthly(s.spark, *_written_monthly(s))
+
+
+def _retention_delete(s: Supplied) -> DataFrame:
+    """Written, expired months deleted, and the rest read back through the filter of readers."""
+    path, schema = _written_monthly(s)
+    expire(s.spark, path, AS_OF)
+    return dedup.retained(read_monthly(s.spark, path, schema), AS_OF, partition_column="load_month")
 
 
 def _csv(s: Supplied) -> DataFrame:
@@ -126,6 +139,15 @@ def _documents(raw: DataFrame, entity: str) -> DataFrame:
     return raw.select(*[value(f.name, f.dataType).alias(f.name) for f in kept])
 
 
+def _daily_run(s: Supplied) -> DataFrame:
+    """Documents published, drained, reported as dated CSV, and that read back."""
+    root = scratch_path(s.spark, "daily")
+    topics, lake = FileTopics(f"{root}/topics", max_files_per_trigger=4), Lake(f"{root}/tables")
+    collections = {e: _documents(s.domain(f"raw_{e}"), e) for e in schemas.ENTITIES}
+    path = daily.run(s.spark, collections, topics, lake, f"{root}/reports", KEYED, RAW_CONFIG, dt.datetime(2001, 8, 2))
+    return read_csv(s.spark, path, f"customer_id string, {', '.join(f'{name} boolean' for name in FLAG_NAMES)}")
+
+
 def filled_lake(s: Supplied) -> Lake:
     """Documents of all entities published and drained into RAW and MART tables."""
     root = scratch_path(s.spark, "lake")
@@ -219,6 +241,13 @@ CASES = [
         "SELECT * EXCLUDE (l_shipdate), l_shipdate AS load_date, strftime(l_shipdate, '%Y%m') AS load_month "
         "FROM lineitem WHERE l_shipdate = (SELECT max(l_shipdate) FROM lineitem)",
     ),
+    Case(
+        "retention_delete",
+        _retention_delete,
+        "SELECT * EXCLUDE (l_shipdate), l_shipdate AS load_date, strftime(l_shipdate, '%Y%m') AS load_month "
+        "FROM lineitem WHERE l_shipdate > DATE '2001-08-02' - INTERVAL '1' YEAR",
+    ),
+    Case("daily_run", _daily_run, report_sql()),
     Case("csv_export", _csv, flags_sql(newest=True)),
     Case("stream_ingest", _stream_ingest, "SELECT * FROM events"),
     Case("stream_replay_idempotent", _stream_replay, "SELECT * FROM events"),
