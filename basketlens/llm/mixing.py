@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlens.llm.shared import WORD, whole_text
@@ -108,19 +108,19 @@ def _plan(blocks: DataFrame, target: Target) -> tuple[DataFrame, DataFrame]:
     return placed, planned
 
 
-def _null_safe(left: DataFrame, right: DataFrame, *names: str) -> Column:
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
+def _by_source(df: DataFrame) -> DataFrame:
+    """df with its source as two columns without nulls: joins by equality leave the partitions that the window needs,
+    so whole rows are shuffled once."""
+    return df.withColumns({"no_source": F.col("source").isNull(), "source_key": F.coalesce(F.col("source").cast("string"), F.lit(""))})
 
 
 def _realised(rows: DataFrame, blocks: DataFrame, target: Target) -> DataFrame:
     """rows with the number of times each is read (`times`), its place in the permutation (`start`) and budgets."""
     placed, planned = _plan(blocks, target)
-    joined = rows.join(placed, _null_safe(rows, placed, "source", "block"), "left").drop(placed["source"], placed["block"])
-    joined = joined.join(planned, joined["source"].eqNullSafe(planned["source"]), "left").drop(planned["source"])
-    order = Window.partitionBy("source", "block").orderBy("key", F.col("doc_id").asc_nulls_first(), "tokens")
+    source = ["no_source", "source_key"]
+    joined = _by_source(rows).join(_by_source(placed).drop("source"), [*source, "block"], "left")
+    joined = joined.join(_by_source(planned).drop("source"), source, "left")
+    order = Window.partitionBy(*source, "block").orderBy("key", F.col("doc_id").asc_nulls_first(), "tokens")
     inside = F.coalesce(F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     full = F.when(F.col("source_tokens") > 0, F.expr("budget div source_tokens")).otherwise(1)
     rest = F.when(F.col("source_tokens") > 0, F.col("budget") % F.col("source_tokens")).otherwise(0)
