@@ -105,3 +105,25 @@ def test_redacted_table(spark):
     assert by_id[9].text == "mail me at <EMAIL> or <IP>" and by_id[9].n_chars == len(by_id[9].text)
     assert by_id[5].text == dict(ODD)[5]
     assert pii.redacted(docs.limit(0)).count() == 0
+
+
+def account(country, body):
+    """An account number whose checksum holds."""
+    rest = int("".join(str(int(c, 36)) for c in body + country + "00")) % 97
+    return f"{country}{98 - rest:02d}{body}"
+
+
+def test_each_account_of_a_row_is_found():
+    accounts = ["DE89370400440532013000", "FR1420041010050500013M02606", "GB29NWBK60161331926819", "NL91ABNA0417164300"]
+    for texts in (accounts, accounts[::-1], [" ".join(a[i : i + 4] for i in range(0, len(a), 4)) for a in accounts]):
+        text = "IBAN " + " ".join(texts)
+        assert [text[s.start : s.end] for s in pii.find(text) if s.kind == "iban"] == texts
+    text = "PO10 IBAN DE89370400440532013000, DE88 FR1420041010050500013M02606"
+    assert [text[s.start : s.end] for s in pii.find(text) if s.kind == "iban"] == [accounts[0], accounts[1]]
+
+
+@pytest.mark.parametrize("country", ["SA", "UA", "RS", "LC", "BR", "RU"])
+def test_accounts_of_further_countries_are_found(country):
+    text = account(country, ("7" * 33)[: pii.IBAN_LENGTHS[country] - 4])
+    assert [s.kind for s in pii.find(f"IBAN {text}.") if s.kind == "iban"] == ["iban"]
+    assert not [s for s in pii.find(f"IBAN {text}7.") if s.kind == "iban"]
