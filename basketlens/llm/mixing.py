@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -92,6 +93,29 @@ def exponent(sources: DataFrame, target: Target = TARGET) -> float:
     return found / (1 << DIGITS)
 
 
+def _budgets(tempered: DataFrame, alpha: float, whole: int, target: Target) -> DataFrame:
+    """Sources (source, source_tokens, weight) with `budget`: whole tokens by largest remainders, so that they add up to
+    the target's share of all tokens. A budget that is a number of whole passes but for rounding is these passes."""
+    total = tempered.agg(F.coalesce(F.sum("weight"), F.lit(1.0))).first()[0] or 1.0
+    tokens = F.col("source_tokens")
+    if alpha == 1.0:
+        quota = tokens * F.lit(target.budget)
+    else:
+        quota = F.col("weight") * F.lit(whole * target.budget / total)
+    passes = F.round(F.col("quota") / tokens) * tokens
+    near = (passes > 0) & (F.abs(F.col("quota") - passes) <= F.lit(1e-9) * passes)
+    exact = tempered.withColumn("quota", F.when(tokens > 0, quota).otherwise(0.0))
+    exact = exact.withColumn("quota", F.when(tokens > 0, F.when(near, passes).otherwise(F.round("quota", 6))).otherwise(0.0))
+    floors = staged(exact.withColumn("floor", F.floor("quota").cast("long")), "floors")
+    rest = math.floor(whole * target.budget + 1e-6) - (floors.agg(F.sum("floor")).first()[0] or 0)
+    if rest <= 0:
+        return floors.withColumn("budget", F.col("floor"))
+    ordered = floors.where(tokens > 0).orderBy((F.col("quota") - F.col("floor")).desc(), F.col("source").asc_nulls_first())
+    more = ordered.limit(rest).select(F.col("source").alias("more_source"), F.lit(1).cast("long").alias("more"))
+    found = floors.join(more, F.col("source").eqNullSafe(F.col("more_source")), "left")
+    return found.withColumn("budget", F.col("floor") + F.coalesce("more", F.lit(0)))
+
+
 def _plan(blocks: DataFrame, target: Target) -> tuple[DataFrame, DataFrame]:
     """Blocks with the tokens of their source before them, and sources with tokens and budget."""
     sources = staged(blocks.groupBy("source").agg(F.sum("tokens").alias("source_tokens")), "sources")
@@ -99,9 +123,7 @@ def _plan(blocks: DataFrame, target: Target) -> tuple[DataFrame, DataFrame]:
     whole = sources.agg(F.coalesce(F.sum("source_tokens"), F.lit(0))).first()[0]
     share = F.col("source_tokens") / F.lit(float(whole or 1))
     tempered = sources.withColumn("weight", F.when(F.col("source_tokens") > 0, F.pow(share, F.lit(alpha))).otherwise(0.0))
-    total = tempered.agg(F.coalesce(F.sum("weight"), F.lit(1.0))).first()[0] or 1.0
-    budget = F.floor(F.round(F.col("weight") / F.lit(total), 9) * F.lit(float(whole) * target.budget)).cast("long")
-    planned = staged(tempered.select("source", "source_tokens", budget.alias("budget")), "budgets")
+    planned = staged(_budgets(tempered, alpha, whole, target).select("source", "source_tokens", "budget"), "budgets")
     # at most 2 ** BLOCK_BITS rows of a source
     before = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     placed = blocks.select("source", "block", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("block_start"))

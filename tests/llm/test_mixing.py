@@ -79,3 +79,36 @@ def test_mixed_rows(spark):
 def test_plan_has_no_python(spark, documents):
     plan = mixing.mixed(documents)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "InPandas", "InArrow", "CartesianProduct"))
+
+
+def test_nothing_goes_where_the_target_is_met_at_exponent_one(spark):
+    """Sources of odd sizes, many of one document, one of them with a share under 5e-10 of a huge source."""
+    rows = [(f"s{k}", k % 7 + 1) for k in range(40)] + [("t", 3)] * 11
+    docs = None
+    for i, (source, n) in enumerate(rows):
+        one = [(i, " ".join(["w"] * n), "en", source)]
+        docs = one if docs is None else docs + one
+    frame_ = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    target = mixing.Target(entropy=0.5)
+    found = mixing.mixture(frame_, target).collect()
+    assert sorted(r.doc_id for r in found) == list(range(len(rows)))
+    sizes = defaultdict(int)
+    for source, n in rows:
+        sizes[source] += n
+    assert {r.source: r.budget for r in found} == sizes
+    sources = spark.createDataFrame([("huge", 3_000_000_000, 1.0), ("small", 1, 1 / 3_000_000_000)], "source string, source_tokens long, weight double")
+    got = {r.source: r.budget for r in mixing._budgets(sources, 1.0, 3_000_000_001, mixing.Target()).collect()}
+    assert got == {"huge": 3_000_000_000, "small": 1}
+
+
+def test_budgets_add_up_by_largest_remainders(spark):
+    tokens = {"a": 1000, "b": 10, "c": 10, None: 7}
+    whole, alpha = sum(tokens.values()), 0.3
+    powers = {s: (n / whole) ** alpha for s, n in tokens.items()}
+    quota = {s: whole * p / sum(powers.values()) for s, p in powers.items()}
+    wanted = {s: math.floor(q) for s, q in quota.items()}
+    for s in sorted(quota, key=lambda s: wanted[s] - quota[s])[: whole - sum(wanted.values())]:
+        wanted[s] += 1
+    sources = spark.createDataFrame([(s, n, powers[s]) for s, n in tokens.items()], "source string, source_tokens long, weight double")
+    got = {r.source: r.budget for r in mixing._budgets(sources, alpha, whole, mixing.Target()).collect()}
+    assert got == wanted and sum(got.values()) == whole
