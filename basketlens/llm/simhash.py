@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -206,12 +206,10 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
-def grouped(rows: DataFrame, first: Column, edges: DataFrame | None = None) -> DataFrame:
-    """For each different fingerprint of rows, the least `first` of all rows reachable from it: fingerprint, first.
-
-    edges: links (a, b) between fingerprints; those of `links` if not given."""
+def grouped(rows: DataFrame, first: Column) -> DataFrame:
+    """For each different fingerprint of rows, the least `first` of all rows reachable from it: fingerprint, first."""
     nodes = staged(rows.groupBy("fingerprint").agg(F.min(first).alias("first")), "fingerprints")
-    roots = components(links(nodes.select("fingerprint")) if edges is None else edges).withColumnRenamed("node", "fingerprint")
+    roots = components(links(nodes.select("fingerprint"))).withColumnRenamed("node", "fingerprint")
     member = staged(nodes.join(roots, "fingerprint", "left").select("fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")), "members")
     least = member.groupBy("root").agg(F.min("first").alias("first"))
     return staged(member.select("fingerprint", "root").join(least, "root").select("fingerprint", "first"), "groups")
@@ -232,18 +230,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of docs, all columns, with one of each component: that with the least doc_id (nulls last), of those
     with one doc_id the one whose text has the least hash. Rows alike in both are one."""
-    return drop_groups(docs, lambda named, keys: (staged(signatures(named, *keys), "signatures"), None))
-
-
-def drop_groups(docs: DataFrame, groups: Callable[[DataFrame, list[str]], tuple[DataFrame, DataFrame | None]]) -> DataFrame:
-    """`drop_near_duplicates` by any fingerprints: groups gets the text and key columns of all rows, the hash of the text
-    last, and gives the key columns with a fingerprint, and the links (see `grouped`)."""
     hash_, none, key, order = fresh(docs, "text_hash", "no_id", "id", "order")
     # the key of the join is that of the window too, so the texts are shuffled once
     named = docs.withColumns({hash_: F.xxhash64(whole_text()), none: F.col("doc_id").isNull(), key: F.coalesce("doc_id", F.lit(0))})
-    rows, edges = groups(named.select("text", none, key, hash_), [none, key, hash_])
+    rows = staged(signatures(named, none, key, hash_), "signatures")
     best = F.struct(*[F.col(c).alias(c) for c in (none, key, hash_)])
-    kept = staged(grouped(rows, best, edges).select("first.*").distinct(), "kept")
+    kept = staged(grouped(rows, best).select("first.*").distinct(), "kept")
     found = named.join(kept, [none, key, hash_], "left_semi")
     one = Window.partitionBy(none, key, hash_).orderBy(F.lit(0))
     return found.withColumn(order, F.row_number().over(one)).where(F.col(order) == 1).select(*[f"`{c}`" for c in docs.columns])
