@@ -9,22 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.llm import (
+    alignment,
     backoff_lm,
     divergence,
     mixing,
     packing,
     perspectives,
     pii,
+    repeats,
     simhash,
     sql,
     url_templates,
     wavelet,
     weighted_sampling,
+    whitening,
 )
 from basketlens.session import scratch_path
 
-#: The vocabulary file, on the driver and on every executor.
+#: Vocabulary files, on the driver and on every executor.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +81,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.spans_digest(pii.spans(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(_table(spark, sf_dir, "documents"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(_table(spark, sf_dir, "documents"), TOKENIZER, PIECES)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.by_component(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -90,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_divergence,
         op9_weighted_sampling,
         op10_pii,
+        op11_repeats,
+        op12_alignment,
+        op13_whitening,
     )
 }
 SQL = {

@@ -95,12 +95,12 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def portions(batch: pa.RecordBatch, column: int = 1) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of at most AT_ONCE bytes of text, or of one row."""
+def portions(batch: pa.RecordBatch, column: int = 1, most: int = AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most `most` bytes of text, or of one row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     begin = total = 0
     for i, size in enumerate(sizes.tolist()):
-        if total and total + size > AT_ONCE:
+        if total and total + size > most:
             yield batch.slice(begin, i - begin)
             begin, total = i, 0
         total += size
