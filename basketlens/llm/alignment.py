@@ -21,15 +21,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketlens.llm.shared import ship, whole_text
-from basketlens.llm.tokens import REMEMBERED, portions
+from basketlens.llm.tokens import portions
 from basketlens.session import staged
 
 #: Bytes of text in a block, unless one text is longer.
-BLOCK = 8_000_000
+BLOCK = 4_000_000
+#: Different words that a worker remembers (some 400 bytes each); beyond that it keeps those that have come up again.
+REMEMBERED = 150_000
 #: Records are parted by the first tokenizer's id modulo RADIX.
 RADIX = 64
 #: Runs that are merged at once; more are merged in levels.
-FAN_IN = 256
+FAN_IN = 512
 
 #: Texts in which a space (one stands before the text too) is followed by white space or by nothing are encoded whole.
 _WHOLE = r"(?:\A| )(?:[\s\x0B\x1C-\x1F]|\z|[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}])"
@@ -70,16 +72,30 @@ class Aligner:
 
     def learn(self, words: list[str]) -> list[Piece | None]:
         """The alignment of a space and each word; None where the bytes of both don't agree with it."""
-        words_a = [x.ids for x in self.a.encode_batch_fast([f" {w}" for w in words], add_special_tokens=False)]
-        words_b = self.b.encode(words) if words else []
-        fits, kept = [], []
-        for word, a, b in zip(words, words_a, words_b):
-            given = f" {word}".encode()
-            fits.append(b"".join(self.a_bytes[i] for i in a) == given == b"".join(self.b_bytes[i] for i in b))
-            kept += [(a, b)] if fits[-1] else []
-        pieces = iter(self._aligned([a for a, _ in kept], [b for _, b in kept]))
+        each_a = [x.ids for x in self.a.encode_batch_fast([f" {w}" for w in words], add_special_tokens=False)]
+        each_b = self.b.encode(words) if words else []
+        given = [f" {w}".encode() for w in words]
+        fits = self._fits(given, each_a, each_b)
+        if not fits.all():
+            each_a, each_b = ([x for x, fit in zip(each, fits) if fit] for each in (each_a, each_b))
+        pieces = self._aligned(each_a, each_b)
         return [next(pieces) if fit else None for fit in fits]
 
+    def _fits(self, given: list[bytes], each_a: list[list[int]], each_b: list[list[int]]) -> np.ndarray:
+        """Whether the bytes of both tokenizations are those given."""
+        sizes, whole, alike = np.array(list(map(len, given))), b"".join(given), True
+        for each, known, width in ((each_a, self.a_bytes, self.a_width), (each_b, self.b_bytes, self.b_width)):
+            ids = [i for x in each for i in x]
+            ends = np.concatenate(([0], np.cumsum(width[ids]) if ids else []))[np.cumsum(list(map(len, each)), dtype=np.int64)]
+            alike = alike and bool((ends == np.cumsum(sizes)).all()) and b"".join(map(known.__getitem__, ids)) == whole
+        if alike:
+            return np.ones(len(given), bool)
+
+        def joined(ids: list[int], known: list[bytes]) -> bytes:
+            return b"".join(known[i] for i in ids)
+
+        return np.array([joined(a, self.a_bytes) == x == joined(b, self.b_bytes) for x, a, b in zip(given, each_a, each_b)], bool)
+
     def _aligned(self, each_a: list[list[int]], each_b: list[list[int]]) -> Iterator[Piece]:
         """All texts are aligned in one go, laid end to end, as both tokenizations of each end together."""
         a, b = (np.array([i for x in each for i in x], np.int64) for each in (each_a, each_b))
@@ -98,12 +114,14 @@ class Aligner:
         groups = [
             f"{','.join(a_text[i:j])}|{','.join(b_text[k:m])}" for i, j, k, m in zip(a_cuts, a_cuts[1:], b_cuts, b_cuts[1:])
         ]
-        a_at = g_at = 0
-        for own_a, own_b in zip(each_a, each_b):
-            a_to = a_at + len(own_a)
-            g_to = int(np.searchsorted(cuts, a_ends[a_to - 1], "right")) if own_a else g_at
-            yield len(own_a), len(own_b), g_to - g_at, ";".join(groups[g_at:g_to]), codes[links[a_at] : links[a_to]].tobytes()
-            a_at, g_at = a_to, g_to
+        a_to = np.cumsum([0, *map(len, each_a)])
+        ends = np.concatenate(([0], a_ends))[a_to]
+        g_to = np.searchsorted(cuts, ends, "right").tolist()
+        links_to = links[a_to].tolist()
+        data = codes.tobytes()
+        for i, (own_a, own_b) in enumerate(zip(each_a, each_b)):
+            text = ";".join(groups[g_to[i] : g_to[i + 1]])
+            yield len(own_a), len(own_b), g_to[i + 1] - g_to[i], text, data[8 * links_to[i] : 8 * links_to[i + 1]]
 
     def whole(self, text: str) -> Piece:
         return self.learn([text])[0] or _NOTHING
@@ -121,8 +139,9 @@ class Aligner:
         words = split.flatten().dictionary_encode()
         different = words.dictionary.to_pylist()
         new = [w for w in different if w and w not in self.known]
-        for i in range(0, len(new), 20_000):
-            self.known.update(zip(new[i : i + 20_000], self.learn(new[i : i + 20_000])))
+        again = [w for w in different if w in self.known] if len(self.known) + len(new) > REMEMBERED else None
+        for i in range(0, len(new), 5_000):
+            self.known.update(zip(new[i : i + 5_000], self.learn(new[i : i + 5_000])))
         found = [self.known.get(w) for w in different]
         usable = np.array([x is not None for x in found], bool)
         numbers, bounds = words.indices.to_numpy(), split.offsets.to_numpy() - split.offsets[0].as_py()
@@ -134,8 +153,8 @@ class Aligner:
                 own = np.array([len(listed)] if text else [], np.int64)
                 listed += [self.whole(text)] if text else []
             out.append(own)
-        if len(self.known) > REMEMBERED:
-            self.known = {}
+        if again is not None:
+            self.known = {w: self.known[w] for w in again}
         return listed, np.concatenate([np.zeros(0, np.int64), *out]), np.cumsum([0, *map(len, out)])
 
 
@@ -182,11 +201,17 @@ def _records(codes: np.ndarray, docs: np.ndarray, shift: int) -> list[tuple[int,
 
     A pair's key is the rest of A's id above `shift` bits for that of B, so a run goes by A, then by B."""
     a, b = codes >> np.uint64(32), codes & np.uint64(0xFFFFFFFF)
+    doc_bits = np.uint64(int(docs.max(initial=0)).bit_length())
+    key_bits = np.uint64(int(a.max(initial=0)).bit_length() + shift)
     keys = ((a // np.uint64(RADIX)) << np.uint64(shift)) | b
-    order = np.lexsort((docs, keys, a % np.uint64(RADIX)))
-    radix, keys, docs = (a[order] % np.uint64(RADIX)).astype(np.int64), keys[order].astype(np.int64), docs[order]
+    # one number for radix, pair and document: blocks are small enough for 64 bits
+    sorted_ = np.sort((((a % np.uint64(RADIX)) << key_bits | keys) << doc_bits) | docs.astype(np.uint64))
+    docs = (sorted_ & ((np.uint64(1) << doc_bits) - np.uint64(1))).astype(np.int64)
+    sorted_ >>= doc_bits
+    keys = (sorted_ & ((np.uint64(1) << key_bits) - np.uint64(1))).astype(np.int64)
+    radix = (sorted_ >> key_bits).astype(np.int64)
     new_pair = np.ones(len(keys), bool)
-    new_pair[1:] = (keys[1:] != keys[:-1]) | (radix[1:] != radix[:-1])
+    new_pair[1:] = sorted_[1:] != sorted_[:-1]
     new = new_pair.copy()
     new[1:] |= docs[1:] != docs[:-1]
     at = np.flatnonzero(new)

@@ -33,10 +33,19 @@ e AS (
   SELECT greatest(
     coalesce((SELECT max(i) FROM e, whole WHERE entropy >= {TARGET.entropy} * ln(k) - 1e-9), 0),
     coalesce((SELECT min(i) FROM e WHERE repeats <= {TARGET.repeats} + 1e-9), {steps})) / {steps}.0 AS alpha
-), w AS (SELECT source, n, pow(p, alpha) AS w FROM p, chosen),
+), w AS (SELECT source, n, alpha, pow(p, alpha) AS w FROM p, chosen),
+-- whole tokens by largest remainders; what is a number of whole passes but for rounding is these passes
+q AS (
+  SELECT source, w.n, CASE WHEN alpha = 1 THEN w.n * {TARGET.budget} ELSE w * (whole.n * {TARGET.budget} / (SELECT sum(w) FROM w)) END AS q
+  FROM w, (SELECT CAST(n AS DOUBLE) AS n FROM whole) whole
+), r AS (
+  SELECT source, n, CASE WHEN m > 0 AND abs(q - m) <= 1e-9 * m THEN m ELSE round(q, 6) END AS q
+  FROM (SELECT *, round(q / n) * n AS m FROM q)
+), f AS (SELECT *, floor(q) AS base, row_number() OVER (ORDER BY q - floor(q) DESC, source NULLS FIRST) AS place FROM r),
 b AS (
-  SELECT w.source, w.n, CAST(floor(round(w.w / (SELECT sum(w) FROM w), 9) * (whole.n * {TARGET.budget})) AS BIGINT) AS budget
-  FROM w, whole
+  SELECT f.source, f.n, CAST(base + CASE WHEN place <= floor(whole.n * {TARGET.budget} + 1e-6) - (SELECT sum(base) FROM f)
+                             THEN 1 ELSE 0 END AS BIGINT) AS budget
+  FROM f, whole
 ), o AS (
   SELECT d.*, b.n, CAST(coalesce(b.budget, 0) AS BIGINT) AS budget,
          coalesce(sum(tokens) OVER (PARTITION BY d.source ORDER BY key >> {60 - BLOCK_BITS}, key, doc_id, tokens

@@ -24,6 +24,45 @@ def plain(text):
     return *counts, len(words) < 20 or 100 * len(covered) > 30 * len(words)
 
 
+def plain_distance(own, reference):
+    if not sum(own) or not sum(reference):
+        return 0.0
+    p, q = ([x / sum(v) for x in v] for v in (own, reference))
+    total = 0.0
+    for a, b in zip(p, q):
+        m = (a + b) / 2
+        total += sum(x * math.log2(x / m) for x in (a, b) if x) / 2
+    return math.sqrt(max(0.0, total))
+
+
+def plain_histograms(text, lang):
+    """Bytes by class of their character, and words by place in the list of the language."""
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    classes = [len(re.findall(c, text)) for c in divergence.CLASSES]
+    spaces = len(text) - sum(map(len, words))
+    chars = [*classes, spaces, len(text.encode()) - len(text), len(text) - spaces - sum(classes)]
+    listed = divergence.COMMON.get(lang, ("",) * 10)
+    hits = [words.count(w) for w in listed]
+    return chars, [len(words) - sum(hits), *hits]
+
+
+def plain_kept(rows):
+    """The ids of (doc_id, text, lang) rows that the quality rules keep."""
+    limits, references = divergence.LIMITS, {}
+    for _, text, lang in rows:
+        own = plain_histograms(text, lang)
+        references[lang] = [[a + b for a, b in zip(x, y)] for x, y in zip(references.get(lang, ([0] * 9, [0] * 11)), own)]
+    kept = []
+    for name, text, lang in rows:
+        chars, words = plain_histograms(text, lang)
+        far = len(text or "") >= limits.chars_least and plain_distance(chars, references[lang][0]) > limits.char_divergence
+        odd = sum(words) >= limits.words_least and plain_distance(words, references[lang][1]) > limits.word_divergence
+        if not (plain(text)[-1] or far or odd):
+            kept.append(name)
+    return kept
+
+
 REPEATS = [
     (30, " ".join(map(str, range(40))) + " x " + " ".join(map(str, range(10, 25)))),
     (31, "a b c d e f g h i " * 3),
@@ -69,3 +108,9 @@ def test_null_and_unknown_languages_and_empty_table(spark):
     assert divergence.quality(docs).count() == len(ODD) + 1
     assert divergence.quality(docs.limit(0)).count() == 0
     assert divergence.drop_low_quality(docs.limit(0)).count() == 0
+
+
+def test_verdicts_of_a_table(spark, documents):
+    rows = [tuple(r) for r in documents.select("doc_id", "text", "lang").collect()]
+    found = [r.doc_id for r in divergence.quality(documents).where("kept").collect()]
+    assert sorted(found) == sorted(plain_kept(rows))
