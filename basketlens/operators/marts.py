@@ -271,6 +271,42 @@ def views_of(source: str) -> list[View]:
     return [view for view in VIEWS if view.source == source]
 
 
+#: The table, by name of the mart, that rows go to which a view refuses.
+REJECTED = "rejected"
+
+
+def routed(raw: DataFrame, views: list[View], keep_rejects: bool = True) -> DataFrame:
+    """What all views make of RAW rows, from one pass over them.
+
+    Each row of a view's grain gives one row a view: `mart` and `view` say where it belongs, and it holds the columns of all
+    marts that the views write, those of its own mart filled. A row that a view refuses belongs to REJECTED; it is kept
+    whole in the struct `rejected`, with the rules it fails. The views must agree on their grain.
+    """
+    (prepare,) = {view.prepare for view in views}
+    prepared = prepare(raw)
+    columns: dict[str, T.DataType] = {}
+    for view in views:
+        for f in T.StructType.fromDDL(schemas.MART[view.target]).fields:
+            if columns.setdefault(f.name, f.dataType) != f.dataType:
+                raise ValueError(f"{f.name} has two types")
+    source = [F.col(f"`{c}`") for c in prepared.columns]
+
+    def row(view: View, mart: str, values: dict[str, Column], refused: Column) -> Column:
+        filled = [values.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in columns.items()]
+        return F.struct(F.lit(mart).alias("mart"), F.lit(view.name).alias("view"), *filled, refused.alias("rejected"))
+
+    def one(view: View) -> Column:
+        own = {f.name for f in T.StructType.fromDDL(schemas.MART[view.target]).fields}
+        failed = quality.failed_rules(view.rules())
+        refused = F.struct(*source, failed.alias("failed_rules"))
+        values = {c: v for c, v in view.columns().items() if c in own}
+        accepted = row(view, view.target, values, F.when(F.lit(False), refused))
+        return F.when(F.size(failed) == 0, accepted).otherwise(row(view, REJECTED, {"load_date": F.col("load_date")}, refused))
+
+    found = prepared.select(F.explode(F.array(*[one(view) for view in views])).alias("row")).select("row.*")
+    return found if keep_rejects else found.filter(F.col("mart") != REJECTED)
+
+
 def build_address(raw_customers: DataFrame, raw_stores: DataFrame) -> DataFrame:
     """All three writers of the address mart in one table, before versions are settled."""
     return (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -13,6 +13,16 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("copies")).filter("copies > 1")
 
 
+def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per key: what a load adds to the counts of all loads."""
+    return df.groupBy(*keys).agg(F.count("*").alias("copies"))
+
+
+def merged_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Counts of several loads as one."""
+    return df.groupBy(*keys).agg(F.sum("copies").alias("copies"))
+
+
 def duplicate_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: number of duplicated keys and of rows beyond the first per key."""
     return duplicate_keys(df, keys).agg(
@@ -33,6 +43,16 @@ def load_counts(collections: Mapping[str, DataFrame]) -> DataFrame:
     return result
 
 
+def counted(df: DataFrame, seen: Observation) -> DataFrame:
+    """df, whose rows are counted into `seen` by the job that writes them."""
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"))
+
+
+def rows_seen(seen: Observation) -> int:
+    """The count of a job that has ended; waits for nothing else."""
+    return seen.get.get("rows") or 0
+
+
 def accepted(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Rows that pass every rule."""
     for rule in rules.values():
@@ -40,10 +60,14 @@ def accepted(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     return df
 
 
+def failed_rules(rules: Mapping[str, Column]) -> Column:
+    """The names of the rules that a row fails; one that can't be told fails."""
+    return F.array_compact(F.array(*[F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items()]))
+
+
 def rejected(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Rows that fail a rule, with the names of the rules they fail in ``failed_rules``."""
-    failed = F.array_compact(F.array(*[F.when(~rule, F.lit(name)) for name, rule in rules.items()]))
-    return df.withColumn("failed_rules", failed).filter(F.size("failed_rules") > 0)
+    return df.withColumn("failed_rules", failed_rules(rules)).filter(F.size("failed_rules") > 0)
 
 
 def rejection_counts(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:

@@ -12,7 +12,7 @@ from basketlens.config import FeatureConfig, MaskingConfig
 from basketlens.plans.publish import publish
 from basketlens.plans.report import publish_report
 from basketlens.session import prepare
-from basketlens.sinks.retention import expire
+from basketlens.sinks.retention import expire, rewrite_boundary
 from basketlens.streaming.ingest import Lake, ingest
 
 
@@ -29,7 +29,8 @@ def run(
 ) -> str:
     """Publish the collections, drain the topics into the tables, write the report; returns its folder.
 
-    RAW months of which every row is `retention_months` old are deleted after that (None: nothing is).
+    RAW rows that are `retention_months` old are deleted after that (None: nothing is): whole months, and of the oldest
+    month that stays the rows that have expired.
     """
     prepare(spark)
     loaded_at = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -38,5 +39,7 @@ def run(
     path = publish_report(spark, lake, target, features)
     if retention_months is not None:
         for entity in schemas.ENTITIES:
-            expire(spark, lake.raw(entity), loaded_at.date(), retention_months, above=2)
+            raw = lake.raw(entity)
+            expire(spark, raw, loaded_at.date(), retention_months, above=2)
+            rewrite_boundary(spark, raw, loaded_at.date(), retention_months, above=2)
     return path

@@ -5,11 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from basketlens.config import MaskingConfig
 from basketlens.functions.masking import mask_documents
 from basketlens.operators.flatten import with_lineage
+from basketlens.operators.quality import counted, rows_seen
 from basketlens.sinks.messages import to_messages
 
 # Fixed value: the database named in record_source.
@@ -25,6 +26,11 @@ def outgoing(
 
 def publish(
     collections: Mapping[str, DataFrame], topics, masking: MaskingConfig, loaded_at: dt.datetime
-) -> None:
+) -> dict[str, int]:
+    """Send all collections; returns how many documents of each were sent, counted while they were written."""
+    sent = {}
     for name, documents in collections.items():
-        topics.publish(outgoing(documents, name, masking, loaded_at), name)
+        seen = Observation()
+        topics.publish(counted(outgoing(documents, name, masking, loaded_at), seen), name)
+        sent[name] = rows_seen(seen)
+    return sent

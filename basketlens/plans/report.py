@@ -8,21 +8,19 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 
 from basketlens.config import FeatureConfig
-from basketlens.operators.dedup import latest_by_key
 from basketlens.operators.fact import PURCHASE_COLUMNS
 from basketlens.operators.features import customer_features
-from basketlens.schemas import MART_KEYS
-from basketlens.session import staged
+from basketlens.session import scratch_scope, staged
 from basketlens.sinks.export import export_csv, result_name
-from basketlens.sources.tables import current_mart, read_mart
-from basketlens.streaming.ingest import Lake
+from basketlens.sources.tables import current_mart
+from basketlens.streaming.ingest import Lake, current_addresses
 
 
 def report(spark: SparkSession, lake: Lake, config: FeatureConfig) -> DataFrame:
     """The flags of the current customers.
 
-    The looked-up tables and the purchases are narrowed, versioned and staged once: each is read several times, and
-    the address mart holds the addresses of all customers while only those of stores are needed.
+    The looked-up tables and the purchases are narrowed, versioned and staged once: each is read several times. Of the
+    current addresses, which are mostly those of customers, only the buckets of stores are read, and nothing of their history.
     """
 
     def current(name: str) -> DataFrame:
@@ -30,9 +28,7 @@ def report(spark: SparkSession, lake: Lake, config: FeatureConfig) -> DataFrame:
 
     products = staged(current("products").select("product_id", "category_name", "is_organic"), "products")
     stores = staged(current("stores").select("store_id", "address_id"), "stores")
-    written = read_mart(spark, lake.mart("address"), "address").select("address_id", "city", "load_date")
-    of_stores = written.join(stores.select("address_id").distinct(), "address_id", "left_semi")
-    address = staged(latest_by_key(of_stores, MART_KEYS["address"]), "address")
+    address = staged(current_addresses(spark, lake).lookup(stores).select("address_id", "city"), "address")
     purchases = staged(current("purchases").select(*PURCHASE_COLUMNS), "purchases")
     return customer_features(current("customers"), purchases, products, stores, address, config)
 
@@ -42,5 +38,6 @@ def publish_report(spark: SparkSession, lake: Lake, target: str, config: Feature
     # the day is settled once, in UTC, for the name and for the flags
     config = replace(config, as_of=config.as_of or dt.datetime.now(dt.timezone.utc).date())
     path = f"{target}/{result_name(config.as_of)}"
-    export_csv(report(spark, lake, config), path, "customer_id")
+    with scratch_scope(spark):
+        export_csv(report(spark, lake, config), path, "customer_id")
     return path

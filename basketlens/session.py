@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import functools
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+from basketlens.files import Files
+
 #: Settings the jobs are written for. None of them fixes a partition count: adaptive execution
 #: coalesces and splits shuffle partitions from the sizes it measures.
 SQL_SETTINGS = {
@@ -22,6 +27,9 @@ SQL_SETTINGS = {
 }
 
 
+_SCOPES: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("scratch scopes", default=())
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply :data:`SQL_SETTINGS` to a session and return it."""
     for name, value in SQL_SETTINGS.items():
@@ -46,7 +54,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = _local_folder()
-    return f"{root.rstrip('/')}/basketlens/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/basketlens/{label}-{uuid.uuid4().hex}"
+    for scope in _SCOPES.get():
+        scope.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Scratch folders asked for inside are deleted at the end, also after an error: what is made of them has been written
+    by then. Only the names this thread asks for belong to it."""
+    folders: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), folders))
+    try:
+        yield folders
+    finally:
+        _SCOPES.reset(token)
+        for folder in folders:
+            Files(spark, folder).delete(folder)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

@@ -41,3 +41,16 @@ def write_batch(df: DataFrame, table: str, batch_id: int, *partition_by: str) ->
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return path
+
+
+def write_routed(df: DataFrame, table: str, batch_id: int, *partition_by: str) -> None:
+    """Write one micro-batch to all tables that its rows belong to, as one job.
+
+    The tables are told by the partition columns; below them stand the stream and the batch, and only the folders that
+    the batch writes to are overwritten, so a replay is repeatable like that of `write_batch`. A reader of one table
+    and month lists the folders of that month only.
+    """
+    run = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+    named = df.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id)})
+    writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by, "run", "batch_id").parquet(table)

@@ -45,6 +45,32 @@ def quarantined(documents: DataFrame) -> DataFrame:
     return documents.filter(F.col(schemas.CORRUPT).isNotNull())
 
 
+def scan_files(spark: SparkSession, path: str) -> DataFrame:
+    """A folder of documents, one a file, each as it is: path, document (a variant) and fault.
+
+    Numbers, prices in quotes and fields nobody lists keep the text they have; `operators.flatten.json_to_raw` makes RAW
+    rows of it, as of messages. A file that holds no document has a null one and the reason in `fault` ('empty', 'not
+    JSON' or 'not an object'), so that files and rows can be told against each other. A missing folder gives no rows.
+    """
+    value = F.col("content").cast("string")
+    document, blank = F.try_parse_json(value), F.length(F.regexp_replace(value, r"\s+", "")) == 0
+    is_object = value.rlike(r"\A\s*\{")
+    fault = F.when(blank, "empty").when(document.isNull(), "not JSON").when(~is_object, "not an object")
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        log.warning("no folder %s", path)
+        return spark.createDataFrame([], "path string, document variant, fault string")
+    scanned = files.withColumn("path", F.col("_metadata.file_path"))
+    found = scanned.select("path", F.when(fault.isNull(), document).alias("document"), fault.alias("fault"))
+    # a scan passes over files without a byte; the driver has listed them with the others
+    listed = spark.createDataFrame([(name,) for name in files.inputFiles()], "path string")
+    without = listed.join(scanned.select("path"), "path", "left_anti")
+    return found.unionByName(without.select("path", F.lit(None).cast("variant").alias("document"), F.lit("empty").alias("fault")))
+
+
 def scan_collection(spark: SparkSession, location: str, fmt: str = "parquet", **options: str) -> DataFrame:
     """All documents of a collection: every run reads the full snapshot.
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens import schemas
+from basketlens.files import Files
 from basketlens.operators import dedup
 
 
@@ -20,11 +21,8 @@ def read_monthly(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def month_folders(spark: SparkSession, path: str, above: int = 0) -> dict[str, list[str]]:
     """The folders of each load month of a table, with `above` levels of folders over them. Names are listed, no file."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{'*/' * above}load_month=*")
-    files = pattern.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     folders: dict[str, list[str]] = {}
-    for status in files.globStatus(pattern) or ():
-        folder = status.getPath().toString()
+    for folder in Files(spark, path).matching(f"{path}/{'*/' * above}load_month=*"):
         month = re.search(r"/load_month=(\d{6})\Z", folder)
         if month:
             folders.setdefault(month[1], []).append(folder)
@@ -48,12 +46,33 @@ def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_mart(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """All versions in a mart, written as ``view=<writer>/run=<id>/batch_id=<n>/load_month=<month>``."""
+    """All versions in a mart, written as ``view=<writer>/load_month=<month>/run=<id>/batch_id=<n>``."""
     return _mart_files(spark, path, name).drop("load_month")
 
 
 def _mart_files(spark: SparkSession, path: str, name: str) -> DataFrame:
-    return read_batches(spark, path, f"{schemas.MART[name]}, view string, load_month string").drop("view")
+    schema = f"{schemas.MART[name]}, view string, load_month string"
+    if not Files(spark, path).exists(path):  # no row of it was written yet
+        return spark.createDataFrame([], schema).drop("view")
+    return read_batches(spark, path, schema).drop("view")
+
+
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """The RAW rows that a view has refused, with the names of the rules they fail in ``failed_rules``."""
+    return spark.read.parquet(path).select("rejected.*")
+
+
+def batch_folders(spark: SparkSession, path: str, after: Mapping[str, int]) -> tuple[list[str], dict[str, int]]:
+    """The folders of a mart's batches that are not in `after` (last batch by ``<view>/<run>``) yet, and the last batches
+    with them. Names are listed, no file is read."""
+    folders, last = [], dict(after)
+    for folder in Files(spark, path).matching(f"{path}/view=*/load_month=*/run=*/batch_id=*"):
+        view, _, run, batch = (part.partition("=")[2] for part in folder.split("/")[-4:])
+        stream = f"{view}/{run}"
+        if int(batch) > after.get(stream, -1):
+            folders.append(folder)
+            last[stream] = max(int(batch), last.get(stream, -1))
+    return folders, last
 
 
 def current_mart(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -61,12 +80,12 @@ def current_mart(spark: SparkSession, path: str, name: str) -> DataFrame:
 
     Every run loads full snapshots, so the newest load is all that counts, and only the files of its
     month are read. Addresses come from several collections whose loads need not carry the same time;
-    they are reduced to the newest row per key over all loads.
+    they are reduced to the newest row per key over all loads (`streaming.ingest.current_addresses` keeps them so).
     """
     keys = schemas.MART_KEYS[name]
     if name == "address":
         return dedup.latest_by_key(read_mart(spark, path, name), keys)
-    newest = dedup.latest_snapshot(_of_newest_month(_mart_files(spark, path, name), path, above=3))
+    newest = dedup.latest_snapshot(_of_newest_month(_mart_files(spark, path, name), path, above=1))
     return dedup.latest_by_key(newest.drop("load_month"), keys)
 
 

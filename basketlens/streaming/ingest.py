@@ -17,8 +17,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from basketlens import schemas
 from basketlens.operators import marts
+from basketlens.operators.dedup import latest_by_key
 from basketlens.operators.flatten import json_to_raw
-from basketlens.sinks.tables import by_month, load_month, write_batch
+from basketlens.sinks.state import KeyedTable
+from basketlens.sinks.tables import by_month, load_month, write_batch, write_routed
+from basketlens.sources.tables import batch_folders
 
 #: Fixed value: a batch is at most this old before it is written.
 MAX_WAIT = "5 seconds"
@@ -33,14 +36,24 @@ class Lake:
     def raw(self, entity: str) -> str:
         return f"{self.root}/mart_raw/{entity}"
 
+    @property
+    def marts(self) -> str:
+        """All marts, and what their views refuse."""
+        return f"{self.root}/mart"
+
     def mart(self, name: str) -> str:
-        return f"{self.root}/mart/{name}"
+        return f"{self.marts}/mart={name}"
 
     def unreadable(self, entity: str) -> str:
         return f"{self.root}/quarantine/messages/{entity}"
 
     def rejected(self, view: str) -> str:
-        return f"{self.root}/quarantine/rows/{view}"
+        return f"{self.mart(marts.REJECTED)}/view={view}"
+
+    def current(self, name: str) -> KeyedTable:
+        """A mart as one row per key, the newest."""
+        keys = schemas.MART_KEYS[name]
+        return KeyedTable(f"{self.root}/current/{name}", schemas.MART[name], keys, lambda df: latest_by_key(df, keys))
 
     def checkpoint(self, entity: str) -> str:
         return f"{self.root}/checkpoints/{entity}"
@@ -56,12 +69,19 @@ def parse(messages: DataFrame) -> DataFrame:
 
 
 def fill_marts(raw: DataFrame, entity: str, lake: Lake, batch_id: int, keep_rejects: bool = True) -> None:
-    """Run every view fed by the entity on one batch of RAW rows."""
-    for view in marts.views_of(entity):
-        rows = view.build(raw).withColumn("load_month", load_month())
-        write_batch(rows, f"{lake.mart(view.target)}/view={view.name}", batch_id, "load_month")
-        if keep_rejects:
-            write_batch(view.rejects(raw), lake.rejected(view.name), batch_id)
+    """Run every view fed by the entity on one batch of RAW rows: one scan, one job, one write."""
+    rows = marts.routed(raw, marts.views_of(entity), keep_rejects)
+    write_routed(rows.withColumn("load_month", load_month()), lake.marts, batch_id, "mart", "view", "load_month")
+
+
+def current_addresses(spark: SparkSession, lake: Lake) -> KeyedTable:
+    """The newest address per key, brought up to date with the batches written since it was used last."""
+    table = lake.current("address")
+    folders, last = batch_folders(spark, lake.mart("address"), table.manifest(spark).applied)
+    if folders:
+        table.upsert(spark.read.schema(schemas.MART["address"]).parquet(*folders), last)
+        table.vacuum(spark)
+    return table
 
 
 def ingest_batch(entity: str, lake: Lake, keep_rejects: bool = True) -> Callable[[DataFrame, int], None]:

@@ -234,7 +234,7 @@ def test_unreadable_messages_are_kept_aside(spark, tmp_path):
     kept = {r["value"] for r in spark.read.parquet(lake.unreadable("products")).collect()}
     assert kept == {broken, "", "[]", "7"}
     assert tables.read_mart(spark, lake.mart("products"), "products").count() == 1
-    (refused,) = spark.read.parquet(lake.rejected("products")).collect()
+    (refused,) = tables.read_rejected(spark, lake.rejected("products")).collect()
     assert refused["product_id"] == "prd-3" and refused["failed_rules"] == ["price"]
 
 
@@ -255,7 +255,7 @@ def test_rejected_rows_are_kept_with_their_reason(spark, tmp_path):
     lake = Lake(str(tmp_path / "lake"))
     free = product_message(2).replace("55.7", "0")
     ingest_batch("products", lake)(messages(spark, product_message(1), free), 0)
-    (row,) = spark.read.parquet(lake.rejected("products")).collect()
+    (row,) = tables.read_rejected(spark, lake.rejected("products")).collect()
     assert row["product_id"] == "prd-2" and row["failed_rules"] == ["price"]
 
 

@@ -43,6 +43,13 @@ SQL_ADDRESS = " UNION ALL ".join(
     ]
 )
 
+SQL_STORE_ADDRESS = _sql_address("raw_stores", "location", PLACE)
+
+
+def sql_delivery_address(table: str) -> str:
+    return _sql_address(table, "delivery_address", DELIVERY)
+
+
 MAKER_KEY = sql_key(*sql_normal("manufacturer_name", "manufacturer_inn"))
 
 SQL_MANUFACTURERS = f"""

@@ -13,16 +13,18 @@ from basketlens import schemas
 from basketlens.config import MaskingConfig
 from basketlens.operators import dedup
 from basketlens.operators.features import FLAG_NAMES, customer_features
+from basketlens.operators.marts import ADDRESS_FROM_DELIVERY, ADDRESS_FROM_PURCHASE_LOCATION, ADDRESS_FROM_STORES
 from basketlens.plans import daily
 from basketlens.plans.publish import publish
 from basketlens.session import scratch_path
 from basketlens.sinks.export import export_csv, read_csv
 from basketlens.sinks.messages import to_messages
-from basketlens.sinks.retention import expire
+from basketlens.sinks.retention import expire, rewrite_boundary
 from basketlens.sinks.tables import write_monthly
-from basketlens.sources.documents import readable, scan_collection, scan_json
+from basketlens.sources.documents import readable, scan_collection, scan_files, scan_json
 from basketlens.sources.tables import newest_monthly, read_batches, read_mart, read_monthly
 from basketlens.sources.topics import FileTopics
+from basketlens.streaming.batches import followed
 from basketlens.streaming.ingest import Lake, append_batches, ingest, route, start
 from workload.adapter import AS_OF, CONFIG, Supplied
 from workload.case import Case, plain_times, with_domain
@@ -33,8 +35,10 @@ from workload.marts import (
     SQL_MANUFACTURERS,
     SQL_PRODUCTS,
     SQL_PURCHASES,
+    SQL_STORE_ADDRESS,
     SQL_STORES,
     comparable_mart,
+    sql_delivery_address,
 )
 from workload.shaping import EMAIL_SQL, KEYED, PHONE_SQL, keyed_sql
 
@@ -79,6 +83,77 @@ def _retention_delete(s: Supplied) -> DataFrame:
     return dedup.retained(read_monthly(s.spark, path, schema), AS_OF, partition_column="load_month")
 
 
+def _retention_rewrite(s: Supplied) -> DataFrame:
+    """Written, expired months deleted, expired rows of the oldest month rewritten away; read back without any filter."""
+    path, schema = _written_monthly(s)
+    expire(s.spark, path, AS_OF)
+    rewrite_boundary(s.spark, path, AS_OF)
+    return read_monthly(s.spark, path, schema)
+
+
+def _address_upsert(s: Supplied) -> DataFrame:
+    """Addresses of customers, then of stores with a later load of some customers, each load twice as after a lost commit.
+    What a look-up of the stores' addresses finds is marked."""
+    lake = Lake(scratch_path(s.spark, "current"))
+    table = lake.current("address")
+    customers, stores = s.domain("raw_customers"), s.domain("raw_stores")
+    later = customers.filter(F.col("customer_id").endswith("7")).withColumn("load_date", F.col("load_date") + F.make_dt_interval(F.lit(1)))
+    first = ADDRESS_FROM_PURCHASE_LOCATION.build(customers).unionByName(ADDRESS_FROM_DELIVERY.build(customers))
+    second = ADDRESS_FROM_STORES.build(stores).unionByName(ADDRESS_FROM_DELIVERY.build(later))
+    for rows, applied in ((first, {"load": 0}), (first, {"load": 0}), (second, {"load": 1}), (second, {"load": 1})):
+        table.upsert(rows, applied)
+    wanted = ADDRESS_FROM_STORES.build(stores).select("address_id")
+    of_stores = table.lookup(wanted).select(F.col("address_id").alias("found"))
+    current = table.read(s.spark).join(of_stores, F.col("address_id") == F.col("found"), "left")
+    return plain_times(current.select("address_id", "country", "city", "apartment", "load_date", F.col("found").isNotNull().alias("of_store")))
+
+
+def _load_counts_observed(s: Supplied) -> DataFrame:
+    """Documents of each collection, counted by the jobs that publish them."""
+    topics = FileTopics(f"{scratch_path(s.spark, 'counted')}/topics")
+    collections = {
+        "customers": s.table("customer"),
+        "stores": s.table("supplier"),
+        "products": s.table("part"),
+        "purchases": s.table("orders"),
+        "refunds": s.table("orders").filter(F.col("o_orderstatus") == "none"),
+    }
+    sent = publish(collections, topics, KEYED, dt.datetime(2001, 8, 2))
+    return s.spark.createDataFrame(sorted(sent.items()), "collection string, documents bigint")
+
+
+def _stream_batches(s: Supplied) -> DataFrame:
+    """Events in a file a week, a file a batch: first and last day of each batch, and its rows as Spark reports them."""
+    root = scratch_path(s.spark, "weeks")
+    weeks = s.table("events").withColumn("week", F.date_trunc("week", "ts").cast("date"))
+    weeks.repartition("week").write.partitionBy("week").parquet(f"{root}/source")
+    events = s.spark.readStream.schema(f"{EVENTS}, week date").option("maxFilesPerTrigger", 1).parquet(f"{root}/source")
+    with followed(s.spark) as log:
+        start(events, append_batches(f"{root}/events"), f"{root}/checkpoint", "weeks").awaitTermination()
+    written = s.spark.read.schema(f"{EVENTS}, run string, batch_id bigint").parquet(f"{root}/events")
+    days = written.groupBy("batch_id").agg(F.min(F.to_date("ts")).alias("first_day"), F.max(F.to_date("ts")).alias("last_day"))
+    return days.join(log.rows(s.spark), "batch_id").select("first_day", "last_day", "n_rows")
+
+
+def _json_scan_files(s: Supplied) -> DataFrame:
+    """Suppliers as documents of several lines, one a file; some with the balance in quotes, some broken, some empty."""
+    path = scratch_path(s.spark, "files")
+    key = F.col("s_suppkey")
+    quoted = F.when(key % 3 == 0, F.col("s_acctbal").cast("string"))
+    plain = F.when(key % 3 != 0, F.col("s_acctbal"))
+    whole = F.regexp_replace(F.to_json(F.struct(F.col("s_name"), plain.alias("plain"), quoted.alias("quoted"))), ",", ",\n  ")
+    text = F.when(key % 50 == 1, "").when(key % 50 == 2, F.substring(whole, 1, 20)).when(key % 50 == 3, "[1]").otherwise(whole)
+    s.table("supplier").select("s_suppkey", text.alias("value")).write.partitionBy("s_suppkey").text(path)
+    found = scan_files(s.spark, path)
+    field = lambda name: F.try_variant_get("document", f"$.{name}", "string")
+    return found.select(
+        F.regexp_extract("path", r"s_suppkey=(\d+)", 1).cast("bigint").alias("s_suppkey"),
+        "fault",
+        field("s_name").alias("s_name"),
+        F.coalesce(field("plain"), field("quoted")).cast("double").alias("s_acctbal"),
+    )
+
+
 def _csv(s: Supplied) -> DataFrame:
     path = scratch_path(s.spark, "csv")
     export_csv(customer_features(**newest_purchases(s), config=CONFIG), path, "customer_id")
@@ -222,6 +297,19 @@ def _mv_sql() -> str:
     )
 
 
+def _address_upsert_sql() -> str:
+    return with_domain(
+        "raw_customers",
+        "raw_stores",
+        body=f""", later AS (
+            SELECT * REPLACE (load_date + INTERVAL 1 DAY AS load_date) FROM raw_customers WHERE ends_with(customer_id, '7')
+        ), loads AS ({SQL_ADDRESS} UNION ALL {sql_delivery_address("later")})
+        SELECT address_id, any_value(country) AS country, any_value(city) AS city, any_value(apartment) AS apartment,
+               max(load_date) AS load_date, address_id IN (SELECT address_id FROM ({SQL_STORE_ADDRESS})) AS of_store
+        FROM loads GROUP BY address_id""",
+    )
+
+
 CASES = [
     Case("json_scan", _json_scan, "SELECT * FROM orders"),
     Case(
@@ -247,6 +335,35 @@ CASES = [
         "SELECT * EXCLUDE (l_shipdate), l_shipdate AS load_date, strftime(l_shipdate, '%Y%m') AS load_month "
         "FROM lineitem WHERE l_shipdate > DATE '2001-08-02' - INTERVAL '1' YEAR",
     ),
+    Case(
+        "retention_rewrite",
+        _retention_rewrite,
+        "SELECT * EXCLUDE (l_shipdate), l_shipdate AS load_date, strftime(l_shipdate, '%Y%m') AS load_month "
+        "FROM lineitem WHERE l_shipdate > DATE '2001-08-02' - INTERVAL '1' YEAR",
+    ),
+    Case("address_upsert", _address_upsert, _address_upsert_sql()),
+    Case(
+        "load_counts_observed",
+        _load_counts_observed,
+        """SELECT 'customers' AS collection, count(*) AS documents FROM customer
+           UNION ALL SELECT 'stores', count(*) FROM supplier UNION ALL SELECT 'products', count(*) FROM part
+           UNION ALL SELECT 'purchases', count(*) FROM orders
+           UNION ALL SELECT 'refunds', count(*) FROM orders WHERE o_orderstatus = 'none'""",
+    ),
+    Case(
+        "stream_batches",
+        _stream_batches,
+        "SELECT min(CAST(ts AS DATE)) AS first_day, max(CAST(ts AS DATE)) AS last_day, count(*) AS n_rows "
+        "FROM events GROUP BY date_trunc('week', ts)",
+    ),
+    Case(
+        "json_scan_files",
+        _json_scan_files,
+        """SELECT s_suppkey, fault, CASE WHEN fault IS NULL THEN s_name END AS s_name,
+                  CASE WHEN fault IS NULL THEN s_acctbal END AS s_acctbal
+           FROM (SELECT *, CASE s_suppkey % 50 WHEN 1 THEN 'empty' WHEN 2 THEN 'not JSON' WHEN 3 THEN 'not an object' END AS fault
+                 FROM supplier)""",
+    ),
     Case("daily_run", _daily_run, report_sql()),
     Case("csv_export", _csv, flags_sql(newest=True)),
     Case("stream_ingest", _stream_ingest, "SELECT * FROM events"),

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.operators import dedup, quality
+from basketlens.session import scratch_path
+from basketlens.sinks.state import KeyedTable
 from workload.adapter import AS_OF, Supplied
 from workload.case import Case
 
@@ -34,6 +36,22 @@ def _latest_sql(source: str) -> str:
 
 NEWEST = f"SELECT * FROM ({VERSIONS}) WHERE load_date = (SELECT max(l_shipdate) FROM lineitem)"
 
+def _merged(s: Supplied) -> DataFrame:
+    """Duplicates over all loads from counts of each load (those that shipped in one year): a load brings its own keys only,
+    and one that comes twice counts once."""
+    counts = KeyedTable(
+        scratch_path(s.spark, "counts"), "l_orderkey bigint, l_linenumber int, copies bigint", KEY, lambda df: quality.merged_counts(df, KEY)
+    )
+    items = s.table("lineitem")
+    year = F.year("l_shipdate")
+    first, last = items.select(F.min(year), F.max(year)).first()
+    middle = (first + last) // 2
+    loads = [items.filter(year <= middle), items.filter(year > middle)]
+    for number in (0, 1, 0, 1):
+        counts.upsert(quality.key_counts(loads[number], KEY), {"year": number})
+    return counts.read(s.spark).filter("copies > 1")
+
+
 CASES = [
     Case("latest_snapshot", lambda s: dedup.latest_snapshot(_versions(s)), NEWEST),
     Case("latest_by_key", lambda s: dedup.latest_by_key(_versions(s), KEY), _latest_sql(VERSIONS)),
@@ -49,6 +67,12 @@ CASES = [
         "SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem "
         "GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1",
     ),
+    Case(
+        "duplicate_keys_merged",
+        _merged,
+        "SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem "
+        "GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1",
+    ),
     Case(
         "duplicate_summary",
         lambda s: quality.duplicate_summary(s.table("lineitem"), KEY),
