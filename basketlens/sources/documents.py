@@ -67,7 +67,11 @@ def scan_files(spark: SparkSession, path: str) -> DataFrame:
     found = scanned.select("path", F.when(fault.isNull(), document).alias("document"), fault.alias("fault"))
     # a scan passes over files without a byte; the driver has listed them with the others
     listed = spark.createDataFrame([(name,) for name in files.inputFiles()], "path string")
-    without = listed.join(scanned.select("path"), "path", "left_anti")
+
+    def plain(df: DataFrame) -> DataFrame:  # both name local files with a different number of slashes
+        return df.withColumn("name", F.regexp_replace("path", "^([A-Za-z0-9+.-]+):/+", "$1:/"))
+
+    without = plain(listed).join(plain(scanned.select("path")).select("name"), "name", "left_anti")
     return found.unionByName(without.select("path", F.lit(None).cast("variant").alias("document"), F.lit("empty").alias("fault")))
 
 
