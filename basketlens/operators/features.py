@@ -312,6 +312,50 @@ def customer_profile(items: DataFrame, config: FeatureConfig, ask: Ask) -> DataF
     return plan.by_customer(plan.by_grain(items)).select("customer_id", *plan.columns)
 
 
+def _ask_flags(config: FeatureConfig, names: Iterable[str]) -> Ask:
+    wanted = set(names)
+
+    def ask(m: Profile) -> list[Column]:
+        return [
+            F.coalesce(flag.rule(m, config), F.lit(False)).alias(flag.name) for flag in FLAGS if flag.name in wanted
+        ]
+
+    return ask
+
+
+def asked(config: FeatureConfig, names: Iterable[str]) -> tuple[set[str], list[Column]]:
+    """The measures that the named flags read, and the flags over them."""
+    profile = Profile(config)
+    columns = _ask_flags(config, names)(profile)
+    return profile.measures, columns
+
+
+def fingerprint_names(column: str) -> list[str]:
+    return [f"{column}_{seed}_{end}" for seed in _SEEDS for end in ("least", "greatest")]
+
+
+def fingerprints_of(column: str) -> list[Column]:
+    """Least and greatest fingerprints of a column's values."""
+    found = []
+    for seed in _SEEDS:
+        value = F.expr(f"if({column} IS NOT NULL, xxhash64({seed}, {column}), NULL)")
+        found += [F.min(value).alias(f"{column}_{seed}_least"), F.max(value).alias(f"{column}_{seed}_greatest")]
+    return found
+
+
+def merged_fingerprints(column: str) -> list[Column]:
+    """The fingerprints of rows that hold those of `fingerprints_of`."""
+    return [(F.min if name.endswith("_least") else F.max)(name).alias(name) for name in fingerprint_names(column)]
+
+
+def several(column: str) -> tuple[Column, Column]:
+    """Whether rows with fingerprints hold some value of a column, and at least two."""
+    two = F.lit(False)
+    for seed in _SEEDS:
+        two = two | (F.min(f"{column}_{seed}_least") != F.max(f"{column}_{seed}_greatest"))
+    return F.min(f"{column}_{_SEEDS[0]}_least").isNotNull(), two
+
+
 def flags_from_items(
     customers: DataFrame,
     items: DataFrame,
@@ -322,14 +366,7 @@ def flags_from_items(
 
     ``items`` are enriched purchase items; only the aggregates the named flags need are computed.
     """
-    wanted = set(FLAG_NAMES if names is None else names)
-
-    def ask(m: Profile) -> list[Column]:
-        return [
-            F.coalesce(flag.rule(m, config), F.lit(False)).alias(flag.name) for flag in FLAGS if flag.name in wanted
-        ]
-
-    plan = _Aggregation(config, ask)
+    plan = _Aggregation(config, _ask_flags(config, FLAG_NAMES if names is None else names))
     profile = plan.by_customer(plan.by_grain(items))
     who = customers.select(
         "customer_id", F.to_date("registration_date").alias("registration_date"), "is_loyalty_member"

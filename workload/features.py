@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketlens.config import CategoryRoles
-from basketlens.operators import dedup, marts
+from basketlens.operators import days, dedup, marts
 from basketlens.operators.fact import enrich_items, wide_fact
 from basketlens.operators.features import FAMILIES, FLAG_NAMES, customer_features, customer_profile, family
-from basketlens.schemas import MART_KEYS
+from basketlens.plans.report import report_of
+from basketlens.schemas import ENTITIES, MART, MART_KEYS
+from basketlens.session import scratch_path, staged
 from workload.adapter import CONFIG, Supplied
 from workload.case import Case, with_domain
 from workload.marts import SQL_ADDRESS, SQL_CUSTOMERS, SQL_PRODUCTS, SQL_PURCHASES, SQL_STORES
@@ -129,15 +133,30 @@ PURCHASE_TIES = (
 
 
 def _report_from_raw(s: Supplied) -> DataFrame:
-    """The whole way: RAW rows through the views, newest versions, flags."""
-    views = {v.name: v for v in marts.VIEWS}
-    current = {
-        name: dedup.current_rows(views[name].build(s.domain(f"raw_{name}")), MART_KEYS[name])
-        for name in ("customers", "purchases", "products", "stores")
-    }
-    addresses = marts.build_address(s.domain("raw_customers"), s.domain("raw_stores"))
-    current["address"] = dedup.latest_by_key(addresses, MART_KEYS["address"])
-    return customer_features(**current, config=RAW_CONFIG)
+    """The whole way: RAW rows through the views, those of an entity in one pass, newest versions, flags."""
+    written = {e: staged(marts.routed(s.domain(f"raw_{e}"), marts.views_of(e), keep_rejects=False), e) for e in ENTITIES}
+
+    def rows(entity: str, mart: str) -> DataFrame:
+        names = T.StructType.fromDDL(MART[mart]).fieldNames()
+        return written[entity].filter(F.col("mart") == mart).select(*names)
+
+    def addresses(stores: DataFrame) -> DataFrame:
+        both = rows("customers", "address").unionByName(rows("stores", "address"))
+        return dedup.latest_by_key(both.join(stores.select("address_id").distinct(), "address_id", "left_semi"), MART_KEYS["address"])
+
+    return report_of(lambda name: dedup.current_rows(rows(name, name), MART_KEYS[name]), addresses, RAW_CONFIG)
+
+
+def _from_days(s: Supplied) -> DataFrame:
+    """Flags from days that two loads brought, the first of them twice; no load looks at the other's purchases."""
+    tables = s.marts()
+    items = enrich_items(*[tables[name] for name in DOMAIN_NAMES[1:]])
+    late = F.col("purchase_datetime") >= F.lit(dt.date(2000, 1, 1))
+    kept = days.table(scratch_path(s.spark, "days"))
+    for number in (0, 1, 0):
+        load = items.filter(late if number else ~late)
+        kept.upsert(days.day_rows(load, CONFIG), {"purchases": number})
+    return days.flags_from_days(tables["customers"], kept.read(s.spark), CONFIG)
 
 
 def report_sql() -> str:
@@ -225,6 +244,7 @@ def _basket_thresholds(items: DataFrame) -> DataFrame:
 
 CASES = [
     Case("customer_features", _flags(all_purchases), flags_sql()),
+    Case("features_from_days", _from_days, flags_sql()),
     Case("customer_features_newest_load", _flags(newest_purchases), flags_sql(newest=True)),
     Case(
         "customer_features_as_written",
