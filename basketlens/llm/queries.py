@@ -59,9 +59,12 @@ def op5_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, labels = _table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels")
+    # a page shows the document whose number its path ends with
+    shown = F.regexp_extract(url_templates.host_and_path(F.col("url"))[1], r"([0-9]+)([.][A-Za-z]+)?/?$", 1).try_cast("bigint")
     bad = (F.col("toxic") == 1) | (F.col("quality") == 0)
-    labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
-    judged = url_templates.judged_urls(_table(spark, sf_dir, "pages"), labels)
+    known = pages.select("page_id", shown.alias("doc_id")).join(labels.select("doc_id", bad.alias("bad")), "doc_id")
+    judged = url_templates.judged_urls(pages, known.select("page_id", "bad"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "template")
 
 

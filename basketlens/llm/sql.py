@@ -130,24 +130,29 @@ def url_templates() -> str:
 
     shape = "CASE " + " ".join(f"WHEN regexp_matches(x, '{p}') THEN '{s}'" for p, s in SHAPES) + " ELSE x END"
     return f"""
-WITH u AS (
+WITH RECURSIVE u AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), h AS (
   SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{alphabet}', '{alphabet.lower()}') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u
 ), g AS (SELECT *, [{shape} for x in string_split(path, '/') if x <> ''] AS segments FROM h),
-l AS (SELECT doc_id AS page_id, max(CASE WHEN toxic = 1 OR quality = 0 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id),
+-- the document that a page shows: the number at the end of its path, with or without an extension
+l AS (
+  SELECT page_id, max(CASE WHEN toxic = 1 OR quality = 0 THEN 1 ELSE 0 END) AS bad
+  FROM g JOIN labels ON labels.doc_id = TRY_CAST(regexp_extract(path, '([0-9]+)([.][A-Za-z]+)?/?$', 1) AS BIGINT) GROUP BY page_id
+),
 p AS (
   SELECT host, segments, count(*) AS n, count(bad) AS labelled, coalesce(sum(bad), 0) AS bad
   FROM g LEFT JOIN l ON g.page_id = l.page_id GROUP BY host, segments
-), v AS (SELECT host, segments, n, unnest(range(1, len(segments) + 1)) AS i FROM p),
-c AS (SELECT host, segments, n, i, segments[1:i - 1] AS prefix, segments[i] AS x FROM v),
-k AS (
-  SELECT host, i, prefix FROM (SELECT host, i, prefix, x, sum(n) AS n FROM c GROUP BY host, i, prefix, x)
-  GROUP BY host, i, prefix HAVING count(*) > {PURITY.children} AND count(*) > {PURITY.share} * sum(n)
-), t AS (
-  SELECT c.host, c.segments, list(CASE WHEN k.host IS NULL THEN x ELSE '*' END ORDER BY c.i) AS parts
-  FROM c LEFT JOIN k ON c.host = k.host AND c.i = k.i AND c.prefix = k.prefix GROUP BY c.host, c.segments
+), tree AS (
+  SELECT host, segments, n, 0 AS i, CAST([] AS VARCHAR[]) AS parts FROM p
+  UNION ALL
+  SELECT host, segments, n, i + 1, list_append(parts, CASE WHEN k > {PURITY.children} AND k > {PURITY.share} * every THEN '*' ELSE x END)
+  FROM (
+    SELECT *, count(DISTINCT x) OVER (PARTITION BY host, parts) AS k, sum(n) OVER (PARTITION BY host, parts) AS every
+    FROM (SELECT *, segments[i + 1] AS x FROM tree WHERE i < len(segments))
+  )
+), t AS (SELECT host, segments, parts FROM tree WHERE i = len(segments)
 ), a AS (
   SELECT p.host, p.segments, labelled, bad, coalesce(array_to_string(parts, '/'), '') AS template,
          coalesce(len(parts), 0) AS depth, coalesce(array_to_string(parts[1:len(parts) - 1], '/'), '') AS parent

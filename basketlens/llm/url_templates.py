@@ -66,6 +66,38 @@ def _shape(segment: Column) -> Column:
     return found
 
 
+def _generalised(paths: DataFrame, purity: Purity) -> DataFrame:
+    """paths with `parts`: their segments, those of variable branches as '*'.
+
+    Level by level: a level is grouped by what the levels above it have become, so branches below a wildcard are one. A
+    branch with `children` paths or fewer can't become variable further down; its paths are done, and the loop ends
+    with the last larger branch.
+    """
+    active, done, depth = paths.withColumn("parts", F.array().cast("array<string>")), None, 0
+    while True:
+        depth += 1
+        size = active.groupBy("host", "parts").agg(F.count(F.lit(1)).alias("below"))
+        marked = active.join(size, ["host", "parts"])
+        further = (F.col("below") > purity.children) & (F.size("segments") >= depth)
+        rest = F.slice("segments", depth, F.greatest(F.size("segments") - depth + 1, F.lit(0)))
+        ended = staged(marked.where(~further).withColumn("parts", F.concat("parts", rest)).select(*active.columns), "ended")
+        done = ended if done is None else done.union(ended)
+        going = staged(marked.where(further).withColumn("segment", F.col("segments")[depth - 1]).drop("below"), "level")
+        if going.isEmpty():
+            return done
+        # each segment is counted once before
+        children = going.groupBy("host", "parts", "segment").agg(F.sum("n").alias("n"))
+        variable = (
+            children.groupBy("host", "parts")
+            .agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
+            .where((F.col("k") > purity.children) & (F.col("k") > purity.share * F.col("n")))
+            .select("host", "parts", F.lit("*").alias("wildcard"))
+        )
+        found = going.join(variable, ["host", "parts"], "left")
+        parts = F.concat("parts", F.array(F.coalesce("wildcard", "segment")))
+        active = staged(found.withColumn("parts", parts).select(*active.columns), "level")
+
+
 def templates(urls: DataFrame, purity: Purity = PURITY) -> DataFrame:
     """The templates of urls (host, segments, bad: true, false or null where not labelled): host, segments, template,
     labelled, bad_pages, bad_share and rejected, one row for each different (host, segments).
@@ -74,26 +106,7 @@ def templates(urls: DataFrame, purity: Purity = PURITY) -> DataFrame:
     """
     labelled, bad = F.count("bad").alias("labelled"), F.count(F.when(F.col("bad"), 1)).alias("bad_pages")
     paths = staged(urls.groupBy("host", "segments").agg(F.count(F.lit(1)).alias("n"), labelled, bad), "paths")
-    levels = paths.select("host", "segments", "n", F.posexplode("segments").alias("depth", "segment"))
-    levels = levels.withColumn("prefix", F.sha2(F.array_join(F.slice("segments", 1, F.col("depth")), "/"), 256))
-    # a branch that has too many different segments is variable; each segment is counted once before
-    children = levels.groupBy("host", "depth", "prefix", "segment").agg(F.sum("n").alias("n"))
-    variable = (
-        children.groupBy("host", "depth", "prefix")
-        .agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
-        .where((F.col("k") > purity.children) & (F.col("k") > purity.share * F.col("n")))
-        .select("host", "depth", "prefix", F.lit(True).alias("variable"))
-    )
-    general = levels.join(variable, ["host", "depth", "prefix"], "left").groupBy("host", "segments").agg(
-        F.sort_array(F.collect_list(F.struct("depth", F.when(F.col("variable"), "*").otherwise(F.col("segment")).alias("segment")))).alias("parts")
-    )
-    named = paths.join(general, ["host", "segments"], "left").select(
-        "host",
-        "segments",
-        "labelled",
-        "bad_pages",
-        F.coalesce(F.transform("parts", lambda x: x["segment"]), F.array().cast("array<string>")).alias("parts"),
-    )
+    named = _generalised(paths, purity)
     named = staged(
         named.select(
             "host",

@@ -69,6 +69,26 @@ def test_variable_segments_become_wildcards(spark, no_labels):
     assert {r.template for r in found.select("template").distinct().collect()} == {"shop/*/view", "about/us"}
 
 
+def test_branches_below_a_wildcard_are_one(spark):
+    names = [f"{a}{b}" for a in "abcdef" for b in "uvwxyz"]
+    # thousands of names in a real shop, a few titles each: alone no branch has enough pages to be judged
+    urls = [f"http://h.org/shop/{n}/{n}-{t}/view" for n in names for t in "pq"] + ["http://h.org/about/us"] * 100
+    labels = spark.createDataFrame([(i, "/shop/" in u) for i, u in enumerate(urls)], "page_id long, bad boolean")
+    found = url_templates.judged_urls(pages_of(spark, urls), labels).collect()
+    assert {(r.template, r.verdict) for r in found} == {("shop/*/*/view", "block"), ("about/us", "allow")}
+
+
+def test_pages_are_labelled_by_the_document_they_show(spark, tmp_path):
+    from basketlens.llm.queries import op6_url_templates
+
+    urls = [f"http://good.org/en/{i}" for i in range(100, 140)] + [f"http://bad.org/en/{i}.html" for i in range(200, 240)]
+    pages_of(spark, urls).write.parquet(f"{tmp_path}/pages.parquet")
+    labels = [(i, 1, 0) for i in range(140)] + [(i, 0, 0) for i in range(200, 230)] + [(i, 1, 1) for i in range(230, 240)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = op6_url_templates(spark, str(tmp_path)).collect()
+    assert {(r.host, r.verdict) for r in found} == {("good.org", "allow"), ("bad.org", "block")}
+
+
 def test_bad_branches_are_rejected_and_like_ones_merged(spark):
     urls = [f"http://h.org/{b}/{i}" for b in ("good", "bad", "fine") for i in range(40)]
     labels = [(i, "/bad/" in u if i % 40 < 38 else i % 2 == 0) for i, u in enumerate(urls)]
