@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -184,6 +185,28 @@ def _stream_replay(s: Supplied) -> DataFrame:
     return read_batches(s.spark, f"{root}/events", EVENTS)
 
 
+def _stream_restart(s: Supplied) -> DataFrame:
+    """A stream of several batches that is lost between the write of its second one and the commit, then goes on."""
+    root = scratch_path(s.spark, "restart")
+    s.table("events").repartition(5, "event_id").write.parquet(f"{root}/source")
+    events = s.spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(f"{root}/source")
+    write, lost = append_batches(f"{root}/events"), []
+
+    def failing(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        if batch_id == 1 and not lost:
+            lost.append(batch_id)
+            raise RuntimeError("lost after the write")
+
+    for _ in range(2):
+        try:
+            start(events, failing, f"{root}/checkpoint", "restart").awaitTermination()
+        except StreamingQueryException:
+            if lost != [1]:
+                raise
+    return read_batches(s.spark, f"{root}/events", EVENTS)
+
+
 def _stream_route(s: Supplied) -> DataFrame:
     root = scratch_path(s.spark, "route")
     events = _event_stream(s).withColumn("topic", F.col("event_type"))
@@ -223,6 +246,21 @@ def _daily_run(s: Supplied) -> DataFrame:
     return read_csv(s.spark, path, f"customer_id string, {', '.join(f'{name} boolean' for name in FLAG_NAMES)}")
 
 
+def _daily_run_two_loads(s: Supplied) -> DataFrame:
+    """Two days: first some of the documents, with other names of products, then all as they are. The report is that of the
+    second day, addresses are those of both, and of RAW the rows of a year ago have gone."""
+    root = scratch_path(s.spark, "days")
+    topics, lake = FileTopics(f"{root}/topics"), Lake(f"{root}/tables")
+    collections = {e: _documents(s.domain(f"raw_{e}"), e) for e in schemas.ENTITIES}
+    id_ = {"customers": "customer_id", "stores": "store_id", "products": "id", "purchases": "purchase_id"}
+    first = {e: df.filter(F.col(id_[e]).endswith("1") | F.col(id_[e]).endswith("4")) for e, df in collections.items()}
+    first["products"] = first["products"].withColumn("group", F.lit("nothing"))
+    path = ""
+    for documents, day in ((first, dt.datetime(2000, 8, 1)), (collections, dt.datetime(2001, 8, 2))):
+        path = daily.run(s.spark, documents, topics, lake, f"{root}/reports", KEYED, RAW_CONFIG, day)
+    return read_csv(s.spark, path, f"customer_id string, {', '.join(f'{name} boolean' for name in FLAG_NAMES)}")
+
+
 def filled_lake(s: Supplied) -> Lake:
     """Documents of all entities published and drained into RAW and MART tables."""
     root = scratch_path(s.spark, "lake")
@@ -368,6 +406,8 @@ CASES = [
     Case("csv_export", _csv, flags_sql(newest=True)),
     Case("stream_ingest", _stream_ingest, "SELECT * FROM events"),
     Case("stream_replay_idempotent", _stream_replay, "SELECT * FROM events"),
+    Case("stream_restart", _stream_restart, "SELECT * FROM events"),
+    Case("daily_run_two_loads", _daily_run_two_loads, report_sql()),
     Case("mv_incremental", _mv_incremental, _mv_sql()),
     Case("stream_route", _stream_route, "SELECT *, event_type AS topic FROM events"),
 ]
