@@ -20,69 +20,88 @@ Piece = tuple[int, int, np.ndarray]
 class Levels:
     """Open windows by their fill level, filled online.
 
-    A piece goes to the level, or to a new window, after which the sum of the squared numbers of windows
-    on each level is least; full windows don't count. Beyond `most` open windows their pieces are laid
-    end to end and cut anew into full windows, which bounds memory whatever the lengths are.
+    What arrives goes to the level, or to a new window, after which the sum of the squared numbers of windows
+    on each level is least; full windows don't count. A level takes `most` windows. What would have to go beyond
+    that is cut: it completes the window, and leaves the rest on the level, after which the sum is least. With
+    `most` windows on a level there is always such a step that doesn't raise the sum, so no level ever exceeds
+    `most` and fewer than most * window windows are open, whatever the lengths are.
     """
 
-    def __init__(self, window: int, most: int = 4096):
-        self.window, self.most, self.open = window, most, 0
+    def __init__(self, window: int, most: int = 4):
+        self.window, self.most = window, most
         self.counts = np.zeros(window + 1)
         self.counts[window] = -0.5  # a filled window adds nothing: 2 * (-0.5 - n) + 2 is 1 - 2 n
         self.windows: list[list[list[Piece]]] = [[] for _ in range(window)]
 
-    def place(self, piece: Piece) -> Iterator[list[Piece]]:
-        """Takes a piece shorter than a window; gives the windows that are full now."""
-        size = len(piece[2])
-        counts = self.counts
-        change = 2 * (counts[size + 1 :] - counts[1 : self.window - size + 1]) + 2
-        change[counts[1 : self.window - size + 1] <= 0] = np.inf
-        # ties go to the fullest window
-        level = self.window - size - int(np.argmin(change[::-1]))
-        if change[level - 1] <= 2 * counts[size] + 1:
-            pieces = self.windows[level].pop()
-            counts[level] -= 1
-            self.open -= 1
+    def place(self, pieces: list[Piece], fresh: bool = True) -> Iterator[list[Piece]]:
+        """Takes pieces, together shorter than a window; gives the windows that are full now.
+
+        Without `fresh` no new window is opened and levels take any number, as nothing more follows.
+        """
+        size, window = sum(len(ids) for _, _, ids in pieces), self.window
+        counts, whole = self.counts, self.window - size
+        # what level h + 1 becomes, beyond the window by cutting: of the first `whole` levels nothing is cut
+        after = np.concatenate((counts[size + 1 :], counts[1:size]))
+        change = 2 * (after - counts[1:window]) + 2
+        change[counts[1:window] <= 0] = np.inf
+        uncut = change[:whole]
+        if fresh:
+            uncut = np.where(after[:whole] < self.most, uncut, np.inf)
+        new = 2 * counts[size] + 1 if fresh and counts[size] < self.most else np.inf
+        least = uncut.min()
+        if min(least, new) == np.inf:
+            level = window - 1 - int(np.argmin(change[::-1]))
+        elif least <= new:
+            level = whole - int(np.argmin(uncut[::-1]))  # ties go to the fullest window
         else:
-            level, pieces = 0, []
-        pieces.append(piece)
-        if level + size == self.window:
-            yield pieces
-            return
-        counts[level + size] += 1
-        self.windows[level + size].append(pieces)
-        self.open += 1
-        if self.open > self.most:
-            yield from self.drain(last=False)
-
-    def drain(self, last: bool = True) -> Iterator[list[Piece]]:
-        """The open windows' pieces, laid end to end and cut into full windows, of which the last one may
-        stay short; it is kept open unless nothing follows."""
-        pieces = [p for level in reversed(self.windows) for w in level for p in w]
-        self.windows = [[] for _ in range(self.window)]
-        self.counts[1 : self.window] = 0
-        self.open = 0
-        found, room = [], self.window
-        for row, start, ids in pieces:
-            while len(ids):
-                found.append((row, start, ids[:room]))
-                start, ids, room = start + room, ids[room:], room - len(ids[:room])
-                if not room:
-                    yield found
-                    found, room = [], self.window
-        if found and last:
-            yield found
-        elif found:
-            self.counts[self.window - room] += 1
-            self.windows[self.window - room].append(found)
-            self.open = 1
+            level = 0
+        held = []
+        if level:
+            held = self.windows[level].pop()
+            counts[level] -= 1
+        head, rest = divided(pieces, window - level)
+        held.extend(head)
+        if level + size >= window:
+            yield held
+            held = rest
+        if held:
+            counts[(level + size) % window] += 1
+            self.windows[(level + size) % window].append(held)
+
+    def drain(self) -> Iterator[list[Piece]]:
+        """What is open is put together by the same rule, the fullest window first, cut where it fits nowhere; one
+        window at most stays short."""
+        level = self.window - 1
+        while level:
+            if not self.windows[level]:
+                level -= 1
+                continue
+            pieces = self.windows[level].pop()
+            self.counts[level] -= 1
+            if not np.any(self.counts[1 : self.window]):
+                yield pieces
+                return
+            yield from self.place(pieces, fresh=False)
+            level = self.window - 1
+
+
+def divided(pieces: list[Piece], size: int) -> tuple[list[Piece], list[Piece]]:
+    """The first `size` ids of pieces, and the others."""
+    head, rest = [], []
+    for row, start, ids in pieces:
+        if size > 0:
+            head.append((row, start, ids[:size]))
+        if size < len(ids):
+            rest.append((row, start + max(size, 0), ids[max(size, 0) :]))
+        size -= len(ids)
+    return head, rest
 
 
 def pack(docs: DataFrame, tokenizer: str, window: int = 1024, end_id: int = 0) -> DataFrame:
     """Packs every whole text, an id at its end, into sequences of `window` ids.
 
-    Whole windows of a document become sequences of their own; what is left of it is placed by sum of
-    squares. Every task packs the rows it reads and leaves at most one sequence short, so nothing is
+    Whole windows of a document become sequences of their own, however long it is; what is left of it is placed by
+    sum of squares. Every task packs the rows it reads and leaves at most one sequence short, so nothing is
     shuffled and no key can be hot. `tokenizer` is the path of a byte-level BPE file on the executors.
 
     One row per piece: doc_id, start and length (in ids of its document), ids (little-endian unsigned
@@ -114,7 +133,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 1024, end_id: int = 0) -
                         made.add([(row, start, ids[start : start + window])], rows)
                     if whole < len(ids):
                         # a copy: a view would keep the ids of the whole batch
-                        for full in levels.place((row, whole, ids[whole:].copy())):
+                        for full in levels.place([(row, whole, ids[whole:].copy())]):
                             made.add(full, rows)
                     row += 1
                 yield made.batch(names.type)

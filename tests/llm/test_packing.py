@@ -73,24 +73,82 @@ def test_digest_is_the_checksum_of_the_ids(spark):
     assert "ids" not in packing.pieces_digest(pieces).columns
 
 
+def piece(row, size):
+    return [(row, 0, np.arange(size, dtype=np.uint32))]
+
+
+def laid(levels, sizes):
+    """All windows that come of pieces of these sizes, those of the last short one included; every id once, in order."""
+    full = [w for row, size in enumerate(sizes) for w in levels.place(piece(row, size))]
+    online = len(full)
+    full += levels.drain()
+    got = defaultdict(list)
+    for w in full:
+        for row, start, ids in w:
+            assert len(ids)
+            got[row].append((start, ids))
+    for row, size in enumerate(sizes):
+        found = sorted(got[row], key=lambda p: p[0])
+        assert [start for start, _ in found] == [int(ids[0]) for _, ids in found]
+        assert np.concatenate([ids for _, ids in found]).tolist() == list(range(size))
+    filled = [sum(len(ids) for _, _, ids in w) for w in full]
+    assert all(n == levels.window for n in filled[:-1]) and all(n <= levels.window for n in filled)
+    assert not levels.counts[1 : levels.window].any()
+    return full, online, sum(len(p) > 1 for p in got.values())
+
+
 def test_level_with_least_squares_is_taken():
     levels = packing.Levels(10)
     for size in (4, 4, 4):
-        assert list(levels.place((0, 0, np.zeros(size, np.uint32)))) == []
+        assert list(levels.place(piece(0, size))) == []
     # the second piece of 4 opened no third kind of level: 4 + 4 leaves one window on 4 and one on 8
     assert levels.counts[4] == 1 and levels.counts[8] == 1
-    full = list(levels.place((1, 0, np.zeros(6, np.uint32))))
+    full = list(levels.place(piece(1, 6)))
     assert [[len(ids) for _, _, ids in w] for w in full] == [[4, 6]]
 
 
-def test_open_windows_are_bounded():
-    levels, given, got = packing.Levels(10, most=5), 0, 0
-    for row in range(100):
-        given += 6
-        got += sum(len(ids) for w in levels.place((row, 0, np.zeros(6, np.uint32))) for _, _, ids in w)
-        assert levels.open <= 5
-    got += sum(len(ids) for w in levels.drain() for _, _, ids in w)
-    assert got == given
+def squares(levels):
+    return sum(n * n for n in levels.counts[1 : levels.window])
+
+
+def test_every_step_is_the_best_of_all_steps():
+    """Against all placements, tried one by one: uncut ones on levels below the limit first, then any."""
+    r = np.random.default_rng(5)
+    levels = packing.Levels(12, most=2)
+    for row, size in enumerate(r.choice([1, 5, 7, 8, 11], 3000).tolist()):
+        before = levels.counts.copy()
+        uncut, cut = [], []
+        for level in [0, *np.flatnonzero(before[:12] > 0).tolist()]:
+            after = before.copy()
+            after[level] -= level > 0
+            to = (level + size) % 12
+            after[to] += to > 0
+            allowed = level + size == 12 or (level + size < 12 and before[to] < 2)
+            cost = sum(n * n for n in after[1:12])
+            (uncut if allowed else cut).append(cost)
+        list(levels.place(piece(row, size)))
+        assert squares(levels) == min(uncut or cut)
+
+
+@pytest.mark.parametrize("most", [1, 4])
+@pytest.mark.parametrize("sizes", [[600] * 3000, [1023] * 800, [512] * 999, [1] * 3000, [5], []])
+def test_equal_lengths(sizes, most):
+    levels = packing.Levels(1024, most)
+    for row, size in enumerate(sizes):
+        list(levels.place(piece(row, size)))
+        assert levels.counts[1:1024].max() <= most
+    full, _, _ = laid(packing.Levels(1024, most), sizes)
+    assert len(full) == -(-sum(sizes) // 1024)
+
+
+def test_few_documents_are_cut():
+    r = np.random.default_rng(11)
+    sizes = np.exp(r.normal(5.5, 1.0, 10_000)).astype(int) % 1023 + 1
+    full, online, cut = laid(packing.Levels(1024), sizes.tolist())
+    assert online > 0.8 * len(full) and cut < 0.05 * len(sizes)
+    # a task of 500 documents ends with relatively more open windows
+    _, _, cut = laid(packing.Levels(1024), sizes[:500].tolist())
+    assert cut < 0.2 * 500
 
 
 def test_encoder_gives_the_ids_of_the_library(encoder):
