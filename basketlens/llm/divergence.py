@@ -22,6 +22,8 @@ COMMON = {
 #: their first one, and whatever is left (lower-case letters for the most part).
 CLASSES = ("[A-Z]", "[0-9]", r"[.,;:!?'\"()\-]", r"[#*$%&|<>]")
 _SPACE = r"[\x20\x09-\x0D]+"
+#: What stands between words of the word histogram.
+BETWEEN = r"[\x20\x09-\x0D.,;:!?'\"()\-]+"
 _CHAR_BINS = len(CLASSES) + 3
 _LONGEST = max(len(w) for ws in COMMON.values() for w in ws)
 _BINS = 1 + max(map(len, COMMON.values()))
@@ -34,7 +36,8 @@ class Limits:
     words: int = 20
     repeat_percent: int = 30
     char_divergence: float = 0.32
-    word_divergence: float = 0.45
+    #: Of the divergence that a text without a single frequent word has from the reference.
+    word_share: float = 0.9
     #: Shorter documents are not judged by that histogram.
     chars_least: int = 100
     words_least: int = 60
@@ -54,7 +57,7 @@ def _histograms(rows: DataFrame) -> DataFrame:
     rows = rows.withColumns(
         {
             "word_chars": F.char_length(F.array_join("words", "")),
-            "short": F.filter("words", lambda w: F.char_length(w) <= _LONGEST),
+            "plain_words": F.array_remove(F.split(F.lower("text"), BETWEEN), ""),
             "marked": F.regexp_replace("text", r"[a-z\x20\x09-\x0D]+", ""),
             "common": F.create_map(*[x for lang, ws in COMMON.items() for x in (F.lit(lang), F.array(*map(F.lit, ws)))])[F.col("lang")],
         }
@@ -63,13 +66,13 @@ def _histograms(rows: DataFrame) -> DataFrame:
     chars, size, found = F.char_length("text"), F.octet_length("text"), F.col("classes")
     spaces, more = chars - F.col("word_chars"), size - chars
     rest = chars - spaces - sum((found[i] for i in range(len(CLASSES))), F.lit(0))
-    n_words = F.size("words")
-    # counted as they stand, without looking at capitals; a word that is not on the list of the language is in bin 0
+    rows = rows.withColumns({"n_plain": F.size("plain_words"), "short": F.filter("plain_words", lambda w: F.char_length(w) <= _LONGEST)})
+    # counted in lower case and without punctuation; a word that is not on the list of the language is in bin 0
     counted = F.transform("common", lambda w: F.size("short") - F.size(F.array_remove("short", w)))
     none = F.array(*[F.lit(0)] * (_BINS - 1))
     rows = rows.withColumns({"char_counts": F.concat("classes", F.array(spaces, more, rest)), "hits": F.coalesce(counted, none)})
-    other = n_words - F.aggregate("hits", F.lit(0), lambda a, x: a + x)
-    return rows.withColumn("word_counts", F.concat(F.array(other), "hits")).drop("short", "marked", "classes", "common", "hits")
+    other = F.col("n_plain") - F.aggregate("hits", F.lit(0), lambda a, x: a + x)
+    return rows.withColumn("word_counts", F.concat(F.array(other), "hits")).drop("plain_words", "n_plain", "short", "marked", "classes", "common", "hits")
 
 
 def _taken(docs: DataFrame, *keep: str) -> DataFrame:
@@ -78,12 +81,14 @@ def _taken(docs: DataFrame, *keep: str) -> DataFrame:
 
 
 def references(counted: DataFrame) -> DataFrame:
-    """For each language (null is one) the character-class and common-word counts of all rows of `counted`."""
+    """For each language (null is one) the character-class and common-word counts of all rows of `counted`, and in
+    `word_alone` how far a text without any common word is from the latter."""
     sums = [
         F.array(*[F.sum(F.col(name)[i]) for i in range(n)]).alias(alias)
         for name, alias, n in (("char_counts", "char_reference", _CHAR_BINS), ("word_counts", "word_reference", _BINS))
     ]
-    return counted.groupBy("lang").agg(*sums)
+    alone = F.array(F.lit(1), *[F.lit(0)] * (_BINS - 1))
+    return counted.groupBy("lang").agg(*sums).withColumn("word_alone", _distance(alone, F.col("word_reference")))
 
 
 def _distance(counts: Column, reference: Column) -> Column:
@@ -162,7 +167,8 @@ def judged(counts: DataFrame, reference: DataFrame, limits: Limits = LIMITS) ->
     """Counted rows with base_failed, char_divergence, word_divergence and kept.
 
     Base rules: too few words, or too many of them inside repeated windows. A document that passes them goes only if
-    one of its histograms is far from the one of its language and it is long enough to be judged by it. A null text is
+    one of its histograms is far from the one of its language and it is long enough to be judged by it; for words, as far as
+    a text that has next to none of the frequent ones, be it of another language or a list of words. A null text is
     an empty one (too few words); rows alike get the same verdict; a language without reference refuses nothing.
     """
     known = reference.withColumnRenamed("lang", "reference_lang")
@@ -173,7 +179,7 @@ def judged(counts: DataFrame, reference: DataFrame, limits: Limits = LIMITS) ->
         ((F.col("n_words") < limits.words) | (100 * F.col("n_repeat_words") > limits.repeat_percent * F.col("n_words"))).alias("base_failed"),
     )
     far = F.coalesce((F.col("n_chars") >= limits.chars_least) & (F.col("char_divergence") > limits.char_divergence), F.lit(False))
-    odd = F.coalesce((F.col("n_words") >= limits.words_least) & (F.col("word_divergence") > limits.word_divergence), F.lit(False))
+    odd = F.coalesce((F.col("n_words") >= limits.words_least) & (F.col("word_divergence") > limits.word_share * F.col("word_alone")), F.lit(False))
     return found.select("*", (~(F.col("base_failed") | far | odd)).alias("kept"))
 
 

@@ -1,6 +1,7 @@
 """Quality rules: counts against plain ones, verdicts by divergence and length."""
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -43,8 +44,9 @@ def plain_histograms(text, lang):
     spaces = len(text) - sum(map(len, words))
     chars = [*classes, spaces, len(text.encode()) - len(text), len(text) - spaces - sum(classes)]
     listed = divergence.COMMON.get(lang, ("",) * 10)
-    hits = [words.count(w) for w in listed]
-    return chars, [len(words) - sum(hits), *hits]
+    between = [w for w in re.split(r"[\x20\x09-\x0D.,;:!?'\"()\-]", text.lower()) if w]
+    hits = [between.count(w) for w in listed]
+    return chars, [len(between) - sum(hits), *hits]
 
 
 def plain_kept(rows):
@@ -57,7 +59,8 @@ def plain_kept(rows):
     for name, text, lang in rows:
         chars, words = plain_histograms(text, lang)
         far = len(text or "") >= limits.chars_least and plain_distance(chars, references[lang][0]) > limits.char_divergence
-        odd = sum(words) >= limits.words_least and plain_distance(words, references[lang][1]) > limits.word_divergence
+        alone = plain_distance([1] + [0] * 10, references[lang][1])
+        odd = plain(text)[0] >= limits.words_least and plain_distance(words, references[lang][1]) > limits.word_share * alone
         if not (plain(text)[-1] or far or odd):
             kept.append(name)
     return kept
@@ -103,6 +106,24 @@ def test_far_documents_go_if_long_enough(spark):
     assert out.columns == docs.columns and {r.doc_id for r in out.collect()} == {i for i, _ in clean}
 
 
+def test_wrong_languages_and_lists_of_words_go(spark):
+    r = random.Random(3)
+
+    def text(lang, start):
+        listed = [w for k, w in enumerate(divergence.COMMON[lang]) for _ in range(10 - k)]
+        words = [r.choice(listed) if r.random() < 0.3 else f"word{start}x{k}" for k in range(150)]
+        return " ".join(w.capitalize() + "," if k % 5 == 0 else w for k, w in enumerate(words))
+
+    clean = [(i, text("en", i)) for i in range(40)]
+    other = [(100, text("de", 100)), (101, text("es", 101))]
+    lists = [(200, "\n".join(f"entry{k}x" for k in range(150))), (201, ", ".join(f"Term{k}y" for k in range(80)))]
+    short = [(300, " ".join(f"thing{k}z" for k in range(30)))]
+    rows = [(i, t, "en") for i, t in clean + other + lists + short]
+    found = {x.doc_id: (x.kept, x.base_failed) for x in divergence.quality(frame(spark, clean + other + lists + short, lang="en")).collect()}
+    assert {i for i, _ in other + lists} == {i for i, (kept, base) in found.items() if not kept and not base}
+    assert sorted(i for i, (kept, _) in found.items() if kept) == sorted(plain_kept(rows))
+
+
 def test_null_and_unknown_languages_and_empty_table(spark):
     docs = frame(spark, ODD, lang=None).union(frame(spark, [(50, ODD[5][1])], lang="xx"))
     assert divergence.quality(docs).count() == len(ODD) + 1
