@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketlens.sinks.bykey import TableByKey
+
 # The columns the fact takes from purchases, and its own.
 PURCHASE_COLUMNS = (
     "purchase_id",
@@ -42,7 +44,12 @@ def enrich_items(
     stores: DataFrame,
     address: DataFrame,
 ) -> DataFrame:
-    """Purchase items with category, organic mark and store city.
+    """Purchase items with category, organic mark and store city."""
+    return _looked_up(purchases.select(*PURCHASE_COLUMNS), products, stores, address)
+
+
+def _looked_up(items: DataFrame, products: DataFrame, stores: DataFrame, address: DataFrame) -> DataFrame:
+    """items, all columns, with what products and stores say.
 
     Stores and addresses are joined to each other first: the address mart also holds the addresses of
     all customers and would otherwise be joined to every item. Items are the kept side of both left
@@ -51,11 +58,12 @@ def enrich_items(
     """
     places = stores.select("store_id", "address_id").join(address.select("address_id", "city"), "address_id", "left")
     kinds = products.select("product_id", "category_name", "is_organic")
-    return (
-        purchases.select(*PURCHASE_COLUMNS)
-        .join(kinds, "product_id", "left")
-        .join(places.select("store_id", "city"), "store_id", "left")
-    )
+    return items.join(kinds, "product_id", "left").join(places.select("store_id", "city"), "store_id", "left")
+
+
+def _known(customers: DataFrame) -> DataFrame:
+    registered = F.to_date("registration_date").alias("registration_date")
+    return customers.select("customer_id", registered, "is_loyalty_member")
 
 
 def wide_fact(
@@ -68,11 +76,33 @@ def wide_fact(
     inner join can be split on the item side. Customers without a match come from the distinct ids of
     the purchases, which are reduced before they are shuffled.
     """
-    who = customers.select(
-        "customer_id", F.to_date("registration_date").alias("registration_date"), "is_loyalty_member"
-    )
+    who = _known(customers)
     items = enrich_items(purchases, products, stores, address)
     matched = items.join(who, "customer_id").select(*FACT_COLUMNS)
     buyers = purchases.select("customer_id").distinct()
     unmatched = who.join(buyers, "customer_id", "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)
+
+
+def stored_fact(
+    customers: TableByKey, purchases: TableByKey, products: DataFrame, stores: DataFrame, address: DataFrame
+) -> DataFrame:
+    """The rows of `wide_fact`, of customers and purchases that are stored by customer_id in the same buckets.
+
+    Bucket joins bucket: neither side is shuffled, purchases are read once, and one left join gives matches and
+    customers without purchases alike. Customers with more rows than an even bucket, at most one a bucket, are kept
+    apart on both sides and joined by broadcast, so their rows stay where they are read. Customers are stored as unique.
+    """
+    if customers.buckets != purchases.buckets or (customers.key, purchases.key) != ("customer_id", "customer_id"):
+        raise ValueError("customers and purchases must be stored by customer_id in the same buckets")
+    if not customers.unique:
+        raise ValueError("customers must be stored as unique")
+    spark = products.sparkSession
+    frequent = F.broadcast(purchases.frequent(spark))
+    who = _known(customers.usual(spark))
+    rare = who.join(frequent, "customer_id", "left_anti")
+    usual = rare.join(purchases.usual(spark).select(*PURCHASE_COLUMNS), "customer_id", "left")
+    known = F.broadcast(who.join(frequent, "customer_id", "left_semi"))
+    often = purchases.often(spark).select(*PURCHASE_COLUMNS).join(known, "customer_id")
+    items = usual.unionByName(often)
+    return _looked_up(items, products, stores, address).select(*FACT_COLUMNS)

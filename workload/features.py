@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from basketlens.config import CategoryRoles
 from basketlens.operators import days, dedup, marts
-from basketlens.operators.fact import enrich_items, wide_fact
+from basketlens.operators.fact import enrich_items, stored_fact, wide_fact
 from basketlens.operators.features import FAMILIES, FLAG_NAMES, customer_features, customer_profile, family
 from basketlens.schemas import MART_KEYS
 from basketlens.session import scratch_path
+from basketlens.sinks.bykey import TableByKey
 from workload.adapter import CONFIG, Supplied
 from workload.case import Case, with_domain
 from workload.marts import SQL_ADDRESS, SQL_CUSTOMERS, SQL_PRODUCTS, SQL_PURCHASES, SQL_STORES
@@ -204,6 +205,16 @@ def _wide(s: Supplied) -> DataFrame:
     return wide_fact(**s.marts())
 
 
+def _wide_stored(s: Supplied) -> DataFrame:
+    """The fact of marts that are stored by customer first."""
+    t = s.marts()
+    for name in ("customers", "purchases"):
+        table = TableByKey(scratch_path(s.spark, name), "customer_id", 16, unique=name == "customers")
+        table.write(t[name])
+        t[name] = table
+    return stored_fact(**t)
+
+
 def _profile(*ask: tuple[str, Callable]):
     def measure(items: DataFrame) -> DataFrame:
         return customer_profile(items, CONFIG, lambda m: [read(m).alias(name) for name, read in ask])
@@ -257,6 +268,7 @@ CASES = [
     ],
     Case("report_from_raw", _report_from_raw, report_sql()),
     Case("wide_fact", _wide, _fact_sql("SELECT * FROM fact")),
+    Case("wide_fact_stored", _wide_stored, _fact_sql("SELECT * FROM fact")),
     Case(
         "recency_flags",
         _flags(all_purchases, ("bought_milk_last_30d", "bought_fruits_last_14d", "inactive_14_30", "new_customer")),
