@@ -22,10 +22,12 @@ COMMON = {
 #: their first one, and whatever is left (lower-case letters for the most part).
 CLASSES = ("[A-Z]", "[0-9]", r"[.,;:!?'\"()\-]", r"[#*$%&|<>]")
 _SPACE = r"[\x20\x09-\x0D]+"
-#: What stands between words of the word histogram.
-BETWEEN = r"[\x20\x09-\x0D.,;:!?'\"()\-]+"
+#: What is taken out of a word before it is looked for in the lists.
+PUNCTUATION = ".,;:!?'\"()-"
 _CHAR_BINS = len(CLASSES) + 3
 _LONGEST = max(len(w) for ws in COMMON.values() for w in ws)
+#: Longer words, punctuation included, are on no list.
+AT_MOST = _LONGEST + 3
 _BINS = 1 + max(map(len, COMMON.values()))
 
 
@@ -57,7 +59,7 @@ def _histograms(rows: DataFrame) -> DataFrame:
     rows = rows.withColumns(
         {
             "word_chars": F.char_length(F.array_join("words", "")),
-            "plain_words": F.array_remove(F.split(F.lower("text"), BETWEEN), ""),
+            "few": F.filter("words", lambda w: F.char_length(w) <= AT_MOST),
             "marked": F.regexp_replace("text", r"[a-z\x20\x09-\x0D]+", ""),
             "common": F.create_map(*[x for lang, ws in COMMON.items() for x in (F.lit(lang), F.array(*map(F.lit, ws)))])[F.col("lang")],
         }
@@ -66,13 +68,14 @@ def _histograms(rows: DataFrame) -> DataFrame:
     chars, size, found = F.char_length("text"), F.octet_length("text"), F.col("classes")
     spaces, more = chars - F.col("word_chars"), size - chars
     rest = chars - spaces - sum((found[i] for i in range(len(CLASSES))), F.lit(0))
-    rows = rows.withColumns({"n_plain": F.size("plain_words"), "short": F.filter("plain_words", lambda w: F.char_length(w) <= _LONGEST)})
+    bare = F.translate(F.lower(F.array_join("few", " ")), PUNCTUATION, "")
+    rows = rows.withColumn("short", F.filter(F.split(bare, " "), lambda w: F.char_length(w) <= _LONGEST))
     # counted in lower case and without punctuation; a word that is not on the list of the language is in bin 0
     counted = F.transform("common", lambda w: F.size("short") - F.size(F.array_remove("short", w)))
     none = F.array(*[F.lit(0)] * (_BINS - 1))
     rows = rows.withColumns({"char_counts": F.concat("classes", F.array(spaces, more, rest)), "hits": F.coalesce(counted, none)})
-    other = F.col("n_plain") - F.aggregate("hits", F.lit(0), lambda a, x: a + x)
-    return rows.withColumn("word_counts", F.concat(F.array(other), "hits")).drop("plain_words", "n_plain", "short", "marked", "classes", "common", "hits")
+    other = F.size("words") - F.aggregate("hits", F.lit(0), lambda a, x: a + x)
+    return rows.withColumn("word_counts", F.concat(F.array(other), "hits")).drop("few", "short", "marked", "classes", "common", "hits")
 
 
 def _taken(docs: DataFrame, *keep: str) -> DataFrame:

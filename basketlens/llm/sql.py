@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from basketlens.llm.divergence import BETWEEN, CLASSES, COMMON, LIMITS
+from basketlens.llm.divergence import AT_MOST, CLASSES, COMMON, LIMITS, PUNCTUATION
 from basketlens.llm.mixing import BLOCK_BITS, DIGITS, TARGET
 from basketlens.llm.perspectives import CLOSE, END, NARRATOR, OPEN, SEGMENT
 from basketlens.llm.url_templates import PURITY, RULES, SHAPES
@@ -206,14 +206,14 @@ win AS (
 f AS (
   SELECT d.doc_id, lang, t, ws, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
          [{classes}] AS c, [x for x in string_split(t, chr(10)) if regexp_matches(x, '[^\\x20\\x09-\\x0D]')] AS lines,
-         [w for w in regexp_split_to_array(lower(t), {_quoted(BETWEEN)}) if w <> ''] AS ps,
+         [translate(lower(w), {_quoted(PUNCTUATION)}, '') for w in ws if length(w) <= {AT_MOST}] AS ps,
          coalesce([len([w for w in ps if w = x]) for x in {common}], [{", ".join(["0"] * (bins - 1))}]) AS hits,
          coalesce(cov.n, 0) AS n_repeat_words
   FROM d LEFT JOIN cov ON d.doc_id = cov.doc_id
 ), h AS (
   SELECT *, list_concat(c, [length(t) - word_chars, strlen(t) - length(t),
                             length(t) - (length(t) - word_chars) - list_sum(c)]) AS chars,
-         list_concat([len(ps) - list_sum(hits)], hits) AS words FROM f
+         list_concat([n_words - list_sum(hits)], hits) AS words FROM f
 ), r AS (SELECT lang, {sums("chars", chars)} AS all_chars, {sums("words", bins)} AS all_words FROM h GROUP BY lang),
 j AS (
   SELECT h.*, {distance("chars", "all_chars", chars)} AS dc, {distance("words", "all_words", bins)} AS dw,

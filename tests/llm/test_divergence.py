@@ -44,9 +44,9 @@ def plain_histograms(text, lang):
     spaces = len(text) - sum(map(len, words))
     chars = [*classes, spaces, len(text.encode()) - len(text), len(text) - spaces - sum(classes)]
     listed = divergence.COMMON.get(lang, ("",) * 10)
-    between = [w for w in re.split(r"[\x20\x09-\x0D.,;:!?'\"()\-]", text.lower()) if w]
-    hits = [between.count(w) for w in listed]
-    return chars, [len(between) - sum(hits), *hits]
+    bare = [re.sub(r"[.,;:!?'\"()\-]", "", w.lower()) for w in words if len(w) <= 7]
+    hits = [bare.count(w) if w else 0 for w in listed]
+    return chars, [len(words) - sum(hits), *hits]
 
 
 def plain_kept(rows):
