@@ -40,21 +40,19 @@ class Levels:
         """
         size, window = sum(len(ids) for _, _, ids in pieces), self.window
         counts, whole = self.counts, self.window - size
-        # what level h + 1 becomes, beyond the window by cutting: of the first `whole` levels nothing is cut
-        after = np.concatenate((counts[size + 1 :], counts[1:size]))
-        change = 2 * (after - counts[1:window]) + 2
-        change[counts[1:window] <= 0] = np.inf
-        uncut = change[:whole]
-        if fresh:
-            uncut = np.where(after[:whole] < self.most, uncut, np.inf)
+        # for each level that leaves room: its windows, and those of the level it would become
+        own, after = counts[1 : whole + 1], counts[size + 1 :]
+        change = 2 * (after - own) + 2
+        change[(own <= 0) | (after >= (self.most if fresh else np.inf))] = np.inf
+        level = whole - int(np.argmin(change[::-1]))  # ties go to the fullest window
         new = 2 * counts[size] + 1 if fresh and counts[size] < self.most else np.inf
-        least = uncut.min()
-        if min(least, new) == np.inf:
-            level = window - 1 - int(np.argmin(change[::-1]))
-        elif least <= new:
-            level = whole - int(np.argmin(uncut[::-1]))  # ties go to the fullest window
-        else:
+        if change[level - 1] > new:
             level = 0
+        elif change[level - 1] == np.inf:
+            # cut where the sum is least then; uncut only onto a level that is full already
+            own, after = counts[1:window], np.concatenate((after, counts[1:size]))
+            change = np.where(own > 0, 2 * (after - own) + 2, np.inf)
+            level = window - 1 - int(np.argmin(change[::-1]))
         held = []
         if level:
             held = self.windows[level].pop()
