@@ -13,10 +13,9 @@ How it is computed:
    customer, purchase, store or product in one task.
 
 Breadth needs no distinct count of its own where the question is only "more than one store (or city)":
-the least and the greatest of a 128-bit fingerprint differ. Categories are few, so each is one more bit;
-a catalogue with more than 63 of them, or a question for exact counts, adds the grouping set
-(customer, category) to step 2. Counting distinct ids directly would copy every item once per distinct
-expression.
+the least and the greatest of a 128-bit fingerprint differ. Where the number itself is asked for, step 2
+has the grouping set (customer, value) beside (customer, purchase), in the same exchange. Counting
+distinct ids directly would copy every item once per distinct expression, through the shuffle.
 """
 
 from __future__ import annotations
@@ -254,13 +253,6 @@ class _Aggregation:
             out.append(F.count("total_amount").alias("amount_rows"))
         return out
 
-    def _merged(self, reduced: DataFrame) -> list[Column]:
-        """The item aggregates of rows that hold them already."""
-        merge = {"bits": F.bit_or, "last_purchase": F.max, "items": F.sum, "amount": F.sum, "amount_rows": F.sum}
-        merge |= {c: F.min for c in reduced.columns if c.endswith("_least")}
-        merge |= {c: F.max for c in reduced.columns if c.endswith("_greatest")}
-        return [how(c).alias(c) for c, how in merge.items() if c in reduced.columns]
-
     def by_grain(self, items: DataFrame) -> DataFrame:
         """Items to one row per customer and purchase (and per value of each column counted exactly)."""
         rows = self.prepared(items)
@@ -269,10 +261,10 @@ class _Aggregation:
             grain = F.lit(keys[0] if keys else "")
             return rows.groupBy("customer_id", *keys).agg(*self._item_aggregates()).withColumn("grain", grain)
         grain = F.coalesce(*[F.when(F.grouping(k) == 0, F.lit(k)) for k in keys]).alias("grain")
+        # copies for the grains are made and combined in the map task: one exchange, and of the breadths only
+        # what differs within a customer goes through it
         sets = [["customer_id", k] for k in keys]
-        # items are reduced first: only what is left of them is copied for each grain
-        reduced = rows.groupBy("customer_id", *keys).agg(*self._item_aggregates())
-        return reduced.groupingSets(sets, "customer_id", *keys).agg(*self._merged(reduced), grain)
+        return rows.groupingSets(sets, "customer_id", *keys).agg(*self._item_aggregates(), grain)
 
     def by_customer(self, rows: DataFrame) -> DataFrame:
         at_purchase = "grain = 'purchase_id'"
