@@ -12,8 +12,9 @@ from basketlens.session import staged
 
 #: Samples of a fingerprint, and how many of them one row of the intermediate table holds.
 SAMPLES, GROUP = 32, 8
-#: Documents of one range of doc_id, whose words are counted in one task; from BUCKETS ranges on they get larger.
-BUCKET_ROWS, BUCKETS = 2000, 1 << 15
+#: Documents of one bucket, whose words are counted in one task, and the most ranges of doc_id that are looked for;
+#: what is more is cut into buckets within the ranges.
+BUCKET_ROWS, RANGES = 2000, 1 << 10
 _WORD_BREAK = r"[\x20\x09-\x0D]+"
 #: A sample is 31 bits of a hash; none stands for a document without words.
 _SAMPLE, _NONE = (1 << 31) - 1, -1
@@ -88,23 +89,28 @@ def as_text(signature: Column) -> Column:
     return F.array_join(F.transform(signature, lambda x: F.lower(F.lpad(F.hex(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))), "")
 
 
-def _bounds(docs: DataFrame) -> list[int]:
-    """Values of doc_id that cut the rows into ranges of about BUCKET_ROWS: a few numbers, whatever the rows hold."""
+def _bounds(docs: DataFrame) -> tuple[list[int], int]:
+    """Values of doc_id that cut the rows into at most RANGES even ranges, the least and the greatest among them, and the
+    number of buckets of a range: a few numbers, whatever the rows hold."""
     rows = docs.agg(F.count("doc_id")).first()[0]
-    ranges = min(math.ceil(rows / BUCKET_ROWS), BUCKETS)
+    ranges = min(math.ceil(rows / BUCKET_ROWS), RANGES)
     if ranges < 2:
-        return []
-    shares = [i / ranges for i in range(1, ranges)]
+        return [], 1
+    shares = [i / ranges for i in range(ranges + 1)]
     found = docs.agg(F.percentile_approx("doc_id", shares, max(10_000, 20 * ranges))).first()[0]
-    return sorted(set(found))
+    return sorted(set(found)), math.ceil(rows / (ranges * BUCKET_ROWS))
 
 
-def _bucket(bounds: list[int]) -> Column:
-    """The number of bounds at or below doc_id, by binary search; -1 where it is null."""
-    if not bounds:
-        return F.when(F.col("doc_id").isNull(), -1).otherwise(0)
-    values = F.array(*[F.lit(b).cast("long") for b in bounds])
-    start = F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high"), values.alias("at"))
+def _bucket(bounds: list[int], slices: int) -> Column:
+    """The bucket of a doc_id, never less for a greater one; -1 where it is null.
+
+    The range is the number of inner bounds at or below the id, by binary search; `slices` buckets of a range are
+    equally wide.
+    """
+    if len(bounds) < 2:
+        return F.when(F.col("doc_id").isNull(), -1).otherwise(0).cast("long")
+    values = F.array(*[F.lit(b).cast("long") for b in bounds[1:-1]]).cast("array<bigint>")
+    start = F.struct(F.lit(0).alias("low"), F.lit(len(bounds) - 2).alias("high"), values.alias("at"))
 
     def step(s: Column, _: Column) -> Column:
         middle = F.floor((s["low"] + s["high"]) / 2).cast("int")
@@ -114,7 +120,28 @@ def _bucket(bounds: list[int]) -> Column:
         return F.struct(low.alias("low"), high.alias("high"), s["at"].alias("at"))
 
     steps = F.array(*[F.lit(0)] * (len(bounds).bit_length() + 1))
-    return F.when(F.col("doc_id").isNull(), -1).otherwise(F.aggregate(steps, start, step)["low"])
+    place = F.aggregate(steps, start, step)["low"].cast("long")
+    if slices > 1:
+        edges = F.array(*[F.lit(float(b)) for b in bounds])
+        low, high = F.get(edges, place.cast("int")), F.get(edges, place.cast("int") + 1)
+        part = F.floor((F.col("doc_id").cast("double") - low) / (high - low) * slices)
+        place = place * slices + F.least(F.greatest(part, F.lit(0)), F.lit(slices - 1))
+    return F.when(F.col("doc_id").isNull(), F.lit(-1).cast("long")).otherwise(place)
+
+
+def _linked(seen: DataFrame, slices: int) -> DataFrame:
+    """Buckets that hold rows with `next_bucket`, the next lower of them; the greatest after the least.
+
+    Only numbers go through the windows: those of a range through one, one a range through the other.
+    """
+    ranged = seen.withColumn("range", F.floor(F.col("bucket") / slices))
+    inside = Window.partitionBy("range").orderBy(F.desc("bucket"))
+    downward = Window.orderBy(F.desc("range"))
+    everywhere = downward.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    tops = ranged.groupBy("range").agg(F.max("bucket").alias("top"))
+    follow = tops.select("range", F.coalesce(F.lead("top").over(downward), F.first("top").over(everywhere)).alias("follow"))
+    within = ranged.withColumn("lower", F.lead("bucket").over(inside))
+    return within.join(follow, "range").select(*seen.columns, F.coalesce("lower", "follow").alias("next_bucket"))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -123,18 +150,21 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     The next document is the one with the next lower doc_id (rows with one doc_id in the order of their texts, null
     ids last; after the last the first): the edited text has its beginning instead of the text's last half. Rows are dealt
-    out by ranges of doc_id; only the first document of each range is looked up by another. A null text is an empty
-    one; a text without words is like such texts only; a single row is its own next one; an empty table gives no row.
+    out by ranges of doc_id; only the first document of each bucket is looked up by another. Rows of one doc_id, or of
+    none, are one bucket, which is sorted and may spill. Columns beside doc_id and text are left out. A null text is an empty
+    one; a very long text is counted word by word; a text without words is like such texts only; a single row is its own next one; an empty table gives no row.
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    bucket = _bucket(_bounds(own.select("doc_id")))
+    bounds, slices = _bounds(own.select("doc_id"))
+    bucket = _bucket(bounds, slices)
     rows = own.withColumn("bucket", bucket)
-    # the first document of each range: its id, then its text
-    firsts = staged(own.select("doc_id").withColumn("bucket", bucket).groupBy("bucket").agg(F.max("doc_id").alias("doc_id")), "firsts")
-    found = own.join(firsts, own["doc_id"].eqNullSafe(firsts["doc_id"])).groupBy("bucket").agg(F.min("text").alias("first_text"))
-    chain = Window.orderBy(F.desc("bucket"))
-    around = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    after = staged(found.select("bucket", F.coalesce(F.lead("first_text").over(chain), F.first("first_text").over(around)).alias("after")), "after")
+    # the first document of each bucket: its id, then its text, which goes to the bucket before
+    seen = own.select("doc_id").withColumn("bucket", bucket).groupBy("bucket").agg(F.max("doc_id").alias("doc_id"))
+    links = staged(_linked(seen, slices), "links")
+    firsts = links.select("bucket", F.col("doc_id").alias("first_id"))
+    found = own.join(firsts, F.col("doc_id").eqNullSafe(F.col("first_id"))).groupBy("bucket").agg(F.min("text").alias("after"))
+    chain = links.select("bucket", "next_bucket")
+    after = staged(chain.join(found.withColumnRenamed("bucket", "next_bucket"), "next_bucket").drop("next_bucket"), "after")
     order = Window.partitionBy("bucket").orderBy(F.col("doc_id").desc_nulls_last(), "text")
     placed = rows.join(after, "bucket").withColumns({"place": F.row_number().over(order), "next": F.lead("text").over(order)})
     size = F.char_length("text")
@@ -144,8 +174,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     named = texts.select("bucket", "place", "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
     sampled = signatures(texts, "bucket", "place", sides=("text", "edited"))
     signed = staged(named.join(sampled, ["bucket", "place"]), "signed")
-    border = signed.where("place = 1").select("bucket", F.col("text_signature").alias("first_signature"))
-    next_border = staged(border.select("bucket", F.coalesce(F.lead("first_signature").over(chain), F.first("first_signature").over(around)).alias("after")), "border")
+    border = signed.where("place = 1").select(F.col("bucket").alias("next_bucket"), F.col("text_signature").alias("after"))
+    next_border = staged(chain.join(border, "next_bucket").drop("next_bucket"), "border")
     follow = F.lead("text_signature").over(Window.partitionBy("bucket").orderBy("place"))
     final = signed.join(next_border, "bucket").withColumn("next_signature", F.coalesce(follow, F.col("after")))
     return final.select(
