@@ -170,7 +170,10 @@ def _blocks(docs: DataFrame, path: str) -> DataFrame:
     name, buckets = f"blocks_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
     written = docs.select("doc_id", whole_text().alias("text")).mapInArrow(task, schema)
     written.write.bucketBy(buckets, "block").option("path", path).saveAsTable(name)
-    return spark.table(name)
+    found = spark.table(name)
+    found.schema  # the files and their buckets are known from here on; the name isn't needed any more
+    spark.sql(f"DROP TABLE {name}")
+    return found
 
 
 def _opened(row: dict, order: int) -> tuple[Block, np.ndarray]:

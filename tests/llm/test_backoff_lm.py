@@ -53,3 +53,11 @@ def test_repeated_rows_and_empty_table(spark):
     docs = frame(spark, [(1, "a b c")] * 3)
     assert [round(r.log_score, 6) for r in backoff_lm.scores(docs).collect()] == [round(plain_scores(["a b c"] * 3)[0][1], 6)] * 3
     assert backoff_lm.scores(docs.limit(0)).count() == 0
+
+
+def test_blocks_leave_no_table_and_are_not_shuffled(spark, documents):
+    found = backoff_lm.scores(documents.select("doc_id", "text").limit(40))
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("blocks_")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    assert found.count() == 40
