@@ -11,6 +11,7 @@ from basketlens.config import MaskingConfig
 from basketlens.functions.masking import mask_documents
 from basketlens.operators.flatten import with_lineage
 from basketlens.operators.quality import counted, rows_seen
+from basketlens.session import shuffles_dropped
 from basketlens.sinks.messages import to_messages
 
 # Fixed value: the database named in record_source.
@@ -31,6 +32,7 @@ def publish(
     sent = {}
     for name, documents in collections.items():
         seen = Observation()
-        topics.publish(counted(outgoing(documents, name, masking, loaded_at), seen), name)
+        with shuffles_dropped(documents.sparkSession):
+            topics.publish(counted(outgoing(documents, name, masking, loaded_at), seen), name)
         sent[name] = rows_seen(seen)
     return sent

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from basketlens.config import FeatureConfig
 from basketlens.operators.fact import PURCHASE_COLUMNS
 from basketlens.operators.features import customer_features
-from basketlens.session import scratch_scope, staged
+from basketlens.session import scratch_scope, shuffles_dropped, staged
 from basketlens.sinks.export import export_csv, result_name
 from basketlens.sources.tables import current_mart
 from basketlens.streaming.ingest import Lake, current_addresses
@@ -47,6 +47,6 @@ def publish_report(spark: SparkSession, lake: Lake, target: str, config: Feature
     # the day is settled once, in UTC, for the name and for the flags
     config = replace(config, as_of=config.as_of or dt.datetime.now(dt.timezone.utc).date())
     path = f"{target}/{result_name(config.as_of)}"
-    with scratch_scope(spark):
+    with scratch_scope(spark), shuffles_dropped(spark):
         export_csv(report(spark, lake, config), path, "customer_id")
     return path

@@ -52,7 +52,9 @@ class FileTopics:
     """Topics as folders of text files in shared storage, one message per line.
 
     A batch is held to a number of files or of bytes; files that are published hold at most rows_per_file messages, so
-    with one file a batch that is also the size of a batch in messages.
+    with one file a batch that is also the size of a batch in messages. Messages repeat the names of their fields, so files
+    are compressed; a reader takes a compressed file whole and spreads its messages (`streaming.ingest.spread`). Files cut by
+    rows stay plain: they are small, and batches held to bytes count them as they are stored.
     """
 
     root: str
@@ -76,4 +78,6 @@ class FileTopics:
         writer = messages.select("value").write.mode("append")
         if self.rows_per_file:
             writer = writer.option("maxRecordsPerFile", self.rows_per_file)
+        else:
+            writer = writer.option("compression", "gzip")
         writer.text(self.path(topic))

@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,6 +18,7 @@ from basketlens import schemas
 from basketlens.operators import marts
 from basketlens.operators.dedup import latest_by_key
 from basketlens.operators.flatten import json_to_raw
+from basketlens.session import shuffles_dropped
 from basketlens.sinks.state import KeyedTable
 from basketlens.sinks.tables import by_month, load_month, write_batch, write_routed
 from basketlens.sources.tables import batch_folders
@@ -68,6 +68,16 @@ def parse(messages: DataFrame) -> DataFrame:
     )
 
 
+def spread(batch: DataFrame) -> DataFrame:
+    """The messages of a batch over all cores: a compressed file is read by one task, which would parse all of it.
+
+    They are dealt out by their place in it, so no hot text and no sort.
+    """
+    cores = batch.sparkSession.sparkContext.defaultParallelism
+    placed = batch.select("value", F.monotonically_increasing_id().alias("place"))
+    return placed.repartition(cores, "place").select("value")
+
+
 def fill_marts(raw: DataFrame, entity: str, lake: Lake, batch_id: int, keep_rejects: bool = True) -> None:
     """Run every view fed by the entity on one batch of RAW rows: one scan, one job, one write."""
     rows = marts.routed(raw, marts.views_of(entity), keep_rejects)
@@ -88,19 +98,19 @@ def ingest_batch(entity: str, lake: Lake, keep_rejects: bool = True) -> Callable
     """The per-batch step: RAW rows first, then the views on what was written.
 
     The views read the columnar RAW files of the batch, each only the columns it needs, rather than
-    parsing the messages again.
+    parsing the messages again. Messages are kept nowhere in between; they are parsed again only for the unreadable ones of
+    a batch of which fewer rows than messages have reached RAW.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        parsed = parse(batch).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            raw = json_to_raw(parsed.filter("readable"), entity)
-            path = write_batch(by_month(raw, schemas.RAW_ORDER[entity]), lake.raw(entity), batch_id, "load_month")
-            write_batch(parsed.filter("NOT readable").select("value"), lake.unreadable(entity), batch_id)
-        finally:
-            parsed.unpersist()
-        fill_marts(spark.read.schema(raw.schema).parquet(path), entity, lake, batch_id, keep_rejects)
+        parsed = parse(spread(batch))
+        raw = json_to_raw(parsed.filter("readable"), entity)
+        path = write_batch(by_month(raw, schemas.RAW_ORDER[entity]), lake.raw(entity), batch_id, "load_month")
+        written = spark.read.schema(raw.schema).parquet(path)
+        missing = "NOT readable" if batch.count() > written.count() else F.lit(False)
+        write_batch(parsed.filter(missing).select("value"), lake.unreadable(entity), batch_id)
+        fill_marts(written, entity, lake, batch_id, keep_rejects)
 
     return step
 
@@ -123,10 +133,11 @@ def ingest(
     spark: SparkSession, topics, lake: Lake, entities: Sequence[str] = schemas.ENTITIES, drain: bool = True
 ) -> list[StreamingQuery]:
     """Start the queries of all entities; with ``drain`` wait for them and raise what they raised."""
-    running = [
-        start(topics.stream(spark, [e]), ingest_batch(e, lake), lake.checkpoint(e), f"ingest_{e}", drain)
-        for e in entities
-    ]
+    with shuffles_dropped(spark):  # a stream keeps the settings it is started with
+        running = [
+            start(topics.stream(spark, [e]), ingest_batch(e, lake), lake.checkpoint(e), f"ingest_{e}", drain)
+            for e in entities
+        ]
     if drain:
         try:
             for query in running:

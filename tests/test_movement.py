@@ -1,6 +1,7 @@
 import datetime as dt
 import hashlib
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,14 +13,14 @@ from basketlens.operators.features import FLAG_NAMES
 from basketlens.operators.flatten import flatten, json_to_raw, to_raw, with_lineage
 from basketlens.plans import daily
 from basketlens.plans.publish import outgoing
-from basketlens.session import scratch_path
+from basketlens.session import DROP_SHUFFLES, scratch_path, shuffles_dropped
 from basketlens.sinks.export import export_csv, read_csv, result_name
 from basketlens.sinks.tables import by_month, write_batch, write_monthly
 from basketlens.sources import tables
 from basketlens.sources.documents import quarantined, readable, scan_collection, scan_json
 from basketlens.sources.topics import FileTopics
-from basketlens.streaming.ingest import Lake, append_batches, ingest, ingest_batch, parse, route, start
-from helpers import plan_of, rows
+from basketlens.streaming.ingest import Lake, append_batches, ingest, ingest_batch, parse, route, spread, start
+from helpers import column, plan_of, rows
 
 MASKING = MaskingConfig("keyed", "key")
 LOADED = dt.datetime(2024, 5, 1, 10, 0, 0)
@@ -450,3 +451,34 @@ def test_a_new_checkpoint_overwrites_nothing(spark, tmp_path):
             start(stream, step, f"{tmp_path}/checkpoint{number}", f"rows{number}").awaitTermination()
     found = tables.read_batches(spark, f"{tmp_path}/rows", "value string")
     assert sorted(r.value for r in found.collect()) == ["a", "b", "c", "d"]
+
+
+def test_a_topic_is_stored_compressed_and_read_by_all_cores(spark, tmp_path):
+    topics, lake = FileTopics(str(tmp_path / "topics")), Lake(str(tmp_path / "lake"))
+    texts = [product_message(n % 50) for n in range(400)] + ["{cut"]
+    topics.publish(messages(spark, *texts).coalesce(1), "products")
+    files = [os.path.join(topics.path("products"), f) for f in os.listdir(topics.path("products")) if f.startswith("part")]
+    assert sum(map(os.path.getsize, files)) < sum(len(t.encode()) for t in texts) / 5
+    batch = spark.read.text(topics.path("products"))
+    assert sorted(column(batch, "value")) == sorted(texts)
+    dealt = spread(batch)
+    parts = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert sorted(column(dealt, "value")) == sorted(texts) and len(parts) > 1 and max(parts) < 400
+    ingest(spark, topics, lake, ["products"])
+    assert spark.read.parquet(lake.raw("products")).count() == 400
+    assert column(spark.read.parquet(lake.unreadable("products")), "value") == ["{cut"]
+    assert spark.conf.get(DROP_SHUFFLES, "false") == "false"
+
+
+def test_messages_of_a_batch_are_not_kept_while_it_is_written(spark, tmp_path, monkeypatch):
+    kept = []
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda df, *_: kept.append(df) or df)
+    ingest_batch("products", Lake(str(tmp_path / "lake")))(messages(spark, product_message(1)), 0)
+    assert not kept
+
+
+def test_shuffles_are_dropped_inside_only(spark):
+    with pytest.raises(RuntimeError), shuffles_dropped(spark):
+        assert spark.conf.get(DROP_SHUFFLES) == "true"
+        raise RuntimeError
+    assert spark.conf.get(DROP_SHUFFLES, "false") == "false"
