@@ -482,3 +482,19 @@ def test_shuffles_are_dropped_inside_only(spark):
         assert spark.conf.get(DROP_SHUFFLES) == "true"
         raise RuntimeError
     assert spark.conf.get(DROP_SHUFFLES, "false") == "false"
+
+
+def test_documents_one_a_file_are_made_by_several_tasks(spark, tmp_path):
+    from workload.adapter import Supplied
+    from workload.movement import _json_scan_files
+
+    suppliers = [(n, f"name {n}", n / 4) for n in range(40)] + [(7, "twice", 1.0)]
+    table = spark.createDataFrame(suppliers, "s_suppkey bigint, s_name string, s_acctbal double")
+    table.coalesce(1).write.parquet(str(tmp_path / "supplier.parquet"))
+    found = _json_scan_files(Supplied(spark, str(tmp_path)))
+    tasks = {os.path.basename(f).split("-")[1] for f in found.inputFiles()}
+    assert len(tasks) > 1
+    read = found.collect()
+    by_key = {r.s_suppkey: r for r in read}
+    assert len(read) == 40 and set(by_key) == {*range(40)} and (by_key[9].s_name, by_key[9].s_acctbal) == ("name 9", 2.25)
+    assert [by_key[n].fault for n in (1, 2, 3, 4)] == ["empty", "not JSON", "not an object", None]

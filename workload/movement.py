@@ -144,7 +144,11 @@ def _json_scan_files(s: Supplied) -> DataFrame:
     plain = F.when(key % 3 != 0, F.col("s_acctbal"))
     whole = F.regexp_replace(F.to_json(F.struct(F.col("s_name"), plain.alias("plain"), quoted.alias("quoted"))), ",", ",\n  ")
     text = F.when(key % 50 == 1, "").when(key % 50 == 2, F.substring(whole, 1, 20)).when(key % 50 == 3, "[1]").otherwise(whole)
-    s.table("supplier").select("s_suppkey", text.alias("value")).write.partitionBy("s_suppkey").text(path)
+    # a file costs much more than its row: they are made by all cores, and put in place by the tasks that make them
+    documents = s.table("supplier").select("s_suppkey", text.alias("value"))
+    dealt = documents.repartition(4 * s.spark.sparkContext.defaultParallelism, "s_suppkey")
+    writer = dealt.write.partitionBy("s_suppkey").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    writer.text(path)
     found = scan_files(s.spark, path)
     field = lambda name: F.try_variant_get("document", f"$.{name}", "string")
     return found.select(
