@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketlens.session import staged
 from basketlens.sinks.bykey import TableByKey
 
 # The columns the fact takes from purchases, and its own.
@@ -43,22 +44,31 @@ def enrich_items(
     products: DataFrame,
     stores: DataFrame,
     address: DataFrame,
+    keep_cities: bool = False,
 ) -> DataFrame:
     """Purchase items with category, organic mark and store city."""
-    return _looked_up(purchases.select(*PURCHASE_COLUMNS), products, stores, address)
+    return _looked_up(purchases.select(*PURCHASE_COLUMNS), products, stores, address, keep_cities)
 
 
-def _looked_up(items: DataFrame, products: DataFrame, stores: DataFrame, address: DataFrame) -> DataFrame:
+def _looked_up(
+    items: DataFrame, products: DataFrame, stores: DataFrame, address: DataFrame, keep_cities: bool = False
+) -> DataFrame:
     """items, all columns, with what products and stores say.
 
     Stores and addresses are joined to each other first: the address mart also holds the addresses of
     all customers and would otherwise be joined to every item. Items are the kept side of both left
     joins; adaptive execution broadcasts a looked-up table whose measured size allows it, and can split a
     product or store that holds much of the data where it does not.
+
+    With `keep_cities` a job writes the cities of stores first. Else the optimizer takes them to be as large as the product
+    of stores and addresses, and all items may be shuffled before they are measured.
     """
     places = stores.select("store_id", "address_id").join(address.select("address_id", "city"), "address_id", "left")
+    places = places.select("store_id", "city")
+    if keep_cities:
+        places = staged(places, "places")
     kinds = products.select("product_id", "category_name", "is_organic")
-    return items.join(kinds, "product_id", "left").join(places.select("store_id", "city"), "store_id", "left")
+    return items.join(kinds, "product_id", "left").join(places, "store_id", "left")
 
 
 def _known(customers: DataFrame) -> DataFrame:
@@ -77,7 +87,7 @@ def wide_fact(
     the purchases, which are reduced before they are shuffled.
     """
     who = _known(customers)
-    items = enrich_items(purchases, products, stores, address)
+    items = enrich_items(purchases, products, stores, address, keep_cities=True)
     matched = items.join(who, "customer_id").select(*FACT_COLUMNS)
     buyers = purchases.select("customer_id").distinct()
     unmatched = who.join(buyers, "customer_id", "left_anti")

@@ -374,9 +374,10 @@ def customer_features(
     address: DataFrame,
     config: FeatureConfig = FeatureConfig(),
     names: Iterable[str] | None = None,
+    keep_cities: bool = False,
 ) -> DataFrame:
     """The flags from the five marts, each already reduced to its current rows."""
-    items = enrich_items(purchases, products, stores, address)
+    items = enrich_items(purchases, products, stores, address, keep_cities)
     return flags_from_items(customers, items, config, names)
 
 

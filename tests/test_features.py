@@ -316,3 +316,10 @@ def test_default_as_of_is_today(spark):
     now = dt.datetime.now().replace(hour=0, minute=0, second=0, microsecond=0)
     found = flags(spark, [item("a", "p", "beef", now)], config=FeatureConfig())
     assert "bought_meat_last_week" in found["a"]
+
+
+def test_cities_of_stores_are_broadcast_without_waiting_for_their_size(spark):
+    t = tables(spark, [("c1", at(10), True)], [item("c1", "o1", "milk", at(1), "100")])
+    plan = plan_of(enrich_items(*[t[name] for name in ("purchases", "products", "stores", "address")], keep_cities=True), "simple")
+    (looked_up,) = [line for line in plan.splitlines() if "Join" in line and "store_id" in line]
+    assert "BroadcastHashJoin" in looked_up
