@@ -46,10 +46,20 @@ def table(path: str, buckets: int = 64) -> KeyedTable:
     return KeyedTable(path, SCHEMA, KEYS, lambda df: latest_by_key(df, KEYS), buckets)
 
 
+def _stand_ins() -> dict[str, Column]:
+    """Each of KEYS as a value that is never null and tells null apart. Rows grouped by it lie as a join on it wants them;
+    a null-safe join on the keys themselves would deal out and sort both sides anew."""
+    return {
+        "who": F.coalesce(F.concat(F.lit("="), "customer_id"), F.lit("")),
+        "on": F.coalesce(F.unix_date("day"), F.lit(-(1 << 31))),  # no date is that early
+    }
+
+
 def day_rows(items: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:
     """Enriched items with their load date, as the rows of SCHEMA.
 
-    Items are reduced to purchases first, combining before the shuffle, then to days. The rows hold what the roles and
+    Items are reduced to purchases first, combining before the shuffle, then to days. Categories are collected as sets, which
+    hold each of a day's once before they come together. The rows hold what the roles and
     thresholds of config make of an item, but not its windows and as-of date. A purchase is of one day; items without a
     purchase id are one basket a day.
     """
@@ -57,9 +67,10 @@ def day_rows(items: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataF
     bits = F.lit(0).cast("long")
     for i, name in enumerate(every):
         bits = bits.bitwiseOR(F.when(every[name], F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")))
-    found = items.withColumns({"day": F.to_date("purchase_datetime"), "bits": bits})
+    dated = items.withColumn("day", F.to_date("purchase_datetime"))
+    found, by = dated.withColumns({"bits": bits, **_stand_ins()}), list(_stand_ins())
     prints = [c for column in _FINGERPRINTS for c in fingerprints_of(column)]
-    baskets = found.groupBy(*KEYS, "purchase_id").agg(
+    baskets = found.groupBy(*by, "purchase_id").agg(
         F.bit_or("bits").alias("bits"),
         F.count("product_id").alias("items"),
         F.sum("total_amount").alias("amount"),
@@ -70,7 +81,7 @@ def day_rows(items: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataF
     )
     known, mean = F.col("purchase_id").isNotNull(), F.try_divide("amount", "amount_rows")
     holding = [F.count_if(known & (F.col("bits").bitwiseAND(1 << i) != 0)) for i in range(len(every))]
-    days = baskets.groupBy(*KEYS).agg(
+    days = baskets.groupBy(*by).agg(
         F.bit_or("bits").alias("conditions"),
         F.array(*holding).alias("condition_purchases"),
         F.count("purchase_id").alias("purchases"),
@@ -85,12 +96,13 @@ def day_rows(items: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataF
         F.max("load_date").alias("load_date"),
         *[c for column in _FINGERPRINTS for c in merged_fingerprints(column)],
     )
-    # each category once before they come together, as many as there are
-    kinds = found.where(F.col(_COUNTED).isNotNull()).select(*KEYS, _COUNTED).distinct()
-    lists = kinds.groupBy(*KEYS).agg(F.sort_array(F.collect_list(_COUNTED)).alias("categories"))
-    same = [days[k].eqNullSafe(lists[k]) for k in KEYS]
-    joined = days.join(lists, same, "left").select(*[days[c] for c in days.columns], lists["categories"])
-    kept = joined.withColumn("categories", F.coalesce("categories", F.array().cast("array<string>")))
+    lists = found.where(F.col(_COUNTED).isNotNull()).groupBy(*by).agg(F.sort_array(F.collect_set(_COUNTED)).alias("categories"))
+    named = {
+        "customer_id": F.when(F.col("who") != "", F.substr("who", F.lit(2))),
+        "day": F.when(F.col("on") != -(1 << 31), F.date_from_unix_date("on")),
+        "categories": F.coalesce("categories", F.array().cast("array<string>")),
+    }
+    kept = days.join(lists, by, "left").withColumns(named)
     return kept.to(kept.sparkSession.createDataFrame([], SCHEMA).schema)
 
 

@@ -81,3 +81,22 @@ def test_no_items_and_what_days_do_not_hold(spark, people):
 def test_items_are_reduced_before_they_are_shuffled(spark):
     plan = plan_of(days.day_rows(typed(spark, bought(3, 5)), CONFIG), "simple")
     assert "partial_bit_or" in plan and "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_days_and_their_categories_meet_where_they_were_grouped(spark):
+    items = typed(spark, bought(4, 40))
+    plan = plan_of(days.day_rows(items, CONFIG), "simple")
+    # baskets, days, category lists; a join that dealt both sides out anew would have more
+    assert plan.count("Exchange hashpartitioning") == 3
+
+
+def test_days_without_customer_or_date_keep_their_categories(spark):
+    day, load = dt.datetime(2024, 4, 30, 12), dt.datetime(2024, 5, 1)
+    who = [(None, day, "a"), (None, day, "a"), (None, day, "b"), ("", day, "c"), ("=", day, "d"), ("c1", None, "e"), (None, None, None)]
+    items = typed(spark, [(c, "o", "p", "s", "A", kind, False, False, "cash", 5, when, load) for c, when, kind in who])
+    found = days.day_rows(items, CONFIG)
+    of = {(r.customer_id, r.day): (r.categories, r["items"]) for r in found.collect()}
+    assert found.count() == 5 and of == {
+        (None, day.date()): (["a", "b"], 3), ("", day.date()): (["c"], 1), ("=", day.date()): (["d"], 1),
+        ("c1", None): (["e"], 1), (None, None): ([], 1),
+    }

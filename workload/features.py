@@ -14,7 +14,7 @@ from basketlens.operators import days, dedup, marts
 from basketlens.operators.fact import enrich_items, stored_fact, wide_fact
 from basketlens.operators.features import FAMILIES, FLAG_NAMES, customer_features, customer_profile, family
 from basketlens.schemas import MART_KEYS
-from basketlens.session import scratch_path
+from basketlens.session import scratch_path, staged
 from basketlens.sinks.bykey import TableByKey
 from workload.adapter import CONFIG, Supplied
 from workload.case import Case, with_domain
@@ -144,9 +144,12 @@ def _report_from_raw(s: Supplied) -> DataFrame:
 
 
 def _from_days(s: Supplied) -> DataFrame:
-    """Flags from days that two loads brought, the first of them twice; no load looks at the other's purchases."""
+    """Flags from days that two loads brought, the first of them twice; no load looks at the other's purchases.
+
+    Day rows read their items twice, so these are looked up once and kept.
+    """
     tables = s.marts()
-    items = enrich_items(*[tables[name] for name in DOMAIN_NAMES[1:]])
+    items = staged(enrich_items(*[tables[name] for name in DOMAIN_NAMES[1:]], keep_cities=True), "items")
     late = F.col("purchase_datetime") >= F.lit(dt.date(2000, 1, 1))
     kept = days.table(scratch_path(s.spark, "days"))
     for number in (0, 1, 0):
