@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketlens.session import staged
+
 
 def latest_by_key(
     df: DataFrame, keys: Sequence[str], version: str = "load_date", tie_breakers: Sequence[str] | None = None
@@ -18,7 +20,8 @@ def latest_by_key(
     Equal versions are settled by the remaining orderable columns (greatest first), so the result does
     not depend on the order rows arrive in. Because the filter asks for rank one, Spark keeps a single
     row per key and map task before the shuffle (WindowGroupLimit): a key holding a large part of the
-    table does not end up whole in one task.
+    table does not end up whole in one task. Rows are sorted by a hash of the keys first: one number tells most of
+    them apart, where the beginnings of keys are often alike.
     """
     if tie_breakers is None:
         unorderable = (T.MapType, T.VariantType)
@@ -28,7 +31,8 @@ def latest_by_key(
             if f.name not in keys and f.name != version and not isinstance(f.dataType, unorderable)
         ]
     order = [F.col(f"`{c}`").desc_nulls_last() for c in (version, *tie_breakers)]
-    rank = F.row_number().over(Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*order))
+    by = [F.col(f"`{k}`") for k in keys]
+    rank = F.row_number().over(Window.partitionBy(F.xxhash64(*by), *by).orderBy(*order))
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
@@ -52,6 +56,18 @@ def current_rows(df: DataFrame, keys: Sequence[str], version: str = "load_date")
     return latest_by_key(latest_snapshot(df, version), keys, version)
 
 
+def current_rows_once(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], version: str = "load_date"
+) -> DataFrame:
+    """Some columns of `current_rows`, of rows that are dear to compute (a view over RAW rows): in one pass over them.
+
+    To look for the newest load first would compute every row twice. Here versions are settled over all loads, which
+    leaves the same row to a key of the newest load, and are kept; the newest load is looked up in what was kept.
+    """
+    settled = latest_by_key(df, keys, version).select(*dict.fromkeys((*columns, version)))
+    return latest_snapshot(staged(settled, "settled"), version).select(*columns)
+
+
 def retained(
     df: DataFrame,
     as_of: dt.date | dt.datetime | Column,

@@ -50,6 +50,22 @@ def test_snapshot_then_versions(spark):
     )
 
 
+def test_current_rows_of_a_view_come_from_one_pass(spark, tmp_path):
+    path = str(tmp_path / "t")
+    versions(spark).unionByName(versions(spark).withColumn("load_date", F.lit(None).cast("timestamp"))).write.parquet(path)
+    source = spark.read.parquet(path)
+    found = dedup.current_rows_once(source.withColumn("m", F.col("n") + 1), ["id"], ["id", "m"])
+    assert found.columns == ["id", "m"]
+    assert rows(found) == rows(dedup.current_rows(source, ["id"]).select("id", (F.col("n") + 1).alias("m")))
+    assert not [f for f in found.inputFiles() if path in f] and path not in plan_of(found)
+    assert dedup.current_rows_once(versions(spark).limit(0), ["id"], ["n"]).count() == 0
+
+
+def test_versions_are_sorted_by_a_number_first(spark):
+    plan = plan_of(dedup.latest_by_key(versions(spark), ["id"]), "simple")
+    assert plan.count("Sort [_w") == 2 and "xxhash64(id" in plan
+
+
 def test_snapshot_of_an_empty_table(spark):
     assert dedup.latest_snapshot(versions(spark).limit(0)).count() == 0
 

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from basketlens.config import CategoryRoles
 from basketlens.operators import days, dedup, marts
-from basketlens.operators.fact import enrich_items, stored_fact, wide_fact
+from basketlens.operators.fact import PURCHASE_COLUMNS, enrich_items, stored_fact, wide_fact
 from basketlens.operators.features import FAMILIES, FLAG_NAMES, customer_features, customer_profile, family
 from basketlens.schemas import MART_KEYS
-from basketlens.session import scratch_path, staged
+from basketlens.session import scratch_path, shuffles_dropped, staged
 from basketlens.sinks.bykey import TableByKey
 from workload.adapter import CONFIG, Supplied
 from workload.case import Case, with_domain
@@ -134,13 +134,20 @@ PURCHASE_TIES = (
 def _report_from_raw(s: Supplied) -> DataFrame:
     """The whole way: RAW rows through the views, newest versions, flags."""
     views = {v.name: v for v in marts.VIEWS}
-    current = {
-        name: dedup.current_rows(views[name].build(s.domain(f"raw_{name}")), MART_KEYS[name])
-        for name in ("customers", "purchases", "products", "stores")
+    read = {
+        "customers": ("customer_id", "registration_date", "is_loyalty_member"),
+        "purchases": PURCHASE_COLUMNS,
+        "products": ("product_id", "category_name", "is_organic"),
+        "stores": ("store_id", "address_id"),
     }
+    with shuffles_dropped(s.spark):
+        current = {
+            name: dedup.current_rows_once(views[name].build(s.domain(f"raw_{name}")), MART_KEYS[name], columns)
+            for name, columns in read.items()
+        }
     addresses = marts.build_address(s.domain("raw_customers"), s.domain("raw_stores"))
     current["address"] = dedup.latest_by_key(addresses, MART_KEYS["address"])
-    return customer_features(**current, config=RAW_CONFIG)
+    return customer_features(**current, config=RAW_CONFIG, keep_cities=True)
 
 
 def _from_days(s: Supplied) -> DataFrame:
