@@ -76,6 +76,17 @@ def to_raw(documents: DataFrame, entity: str) -> DataFrame:
     return _named_as_raw(flatten(documents), entity)
 
 
+def _is_list(kind: T.DataType) -> bool:
+    return isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, T.StructType)
+
+
+def _as_texts(kind: T.DataType) -> str:
+    """The type that takes the leaves of documents as text, and lists, which may be text as well, as they are."""
+    if isinstance(kind, T.StructType):
+        return f"struct<{', '.join(f'`{f.name}`: {_as_texts(f.dataType)}' for f in kind.fields)}>"
+    return "variant" if _is_list(kind) else "string"
+
+
 def json_to_raw(documents: DataFrame, entity: str, column: str = "document") -> DataFrame:
     """Documents held as a variant as rows of the RAW table of their entity.
 
@@ -83,19 +94,21 @@ def json_to_raw(documents: DataFrame, entity: str, column: str = "document") ->
     are usual, or a price in quotes, reaches RAW and is judged by the row checks. Items keep fields nobody lists.
     """
 
-    def leaves(kind: T.StructType, path: str, prefix: str):
+    def leaves(kind: T.StructType, taken: Column, prefix: str):
         for f in kind.fields:
-            at, name = f"{path}.{f.name}", f"{prefix}{f.name}"
-            text = F.try_variant_get(column, at, "string")
+            held, name = taken.getField(f.name), f"{prefix}{f.name}"
             if isinstance(f.dataType, T.StructType):
-                yield from leaves(f.dataType, at, f"{name}_")
-            elif isinstance(f.dataType, T.ArrayType) and not isinstance(f.dataType.elementType, T.StructType):
-                yield F.coalesce(join_list(F.try_variant_get(column, at, "array<string>")), text).alias(name)
+                yield from leaves(f.dataType, held, f"{name}_")
+            elif _is_list(f.dataType):
+                text = F.try_variant_get(held, "$", "string")
+                yield F.coalesce(join_list(F.try_variant_get(held, "$", "array<string>")), text).alias(name)
             elif isinstance(f.dataType, T.BooleanType):
-                yield F.initcap(text).alias(name)
+                yield F.initcap(held).alias(name)
             else:
                 number = isinstance(f.dataType, T.NumericType)
-                yield (plain_number(text) if number else text).alias(name)
+                yield (plain_number(held) if number else held).alias(name)
 
     schema = T.StructType.fromDDL(schemas.DOCUMENTS[entity])
-    return _named_as_raw(documents.select(*leaves(schema, "$", "")), entity)
+    # the fields are taken by one walk over a document: a path for each of them would look for its names anew
+    taken = documents.select(F.try_variant_get(column, "$", _as_texts(schema)).alias("taken"))
+    return _named_as_raw(taken.select(*leaves(schema, F.col("taken"), "")), entity)

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -290,20 +292,50 @@ def routed(raw: DataFrame, views: list[View], keep_rejects: bool = True) -> Data
             if columns.setdefault(f.name, f.dataType) != f.dataType:
                 raise ValueError(f"{f.name} has two types")
     source = [F.col(f"`{c}`") for c in prepared.columns]
+    numbered = [*enumerate(views)]
 
-    def row(view: View, mart: str, values: dict[str, Column], refused: Column) -> Column:
-        filled = [values.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in columns.items()]
-        return F.struct(F.lit(mart).alias("mart"), F.lit(view.name).alias("view"), *filled, refused.alias("rejected"))
-
-    def one(view: View) -> Column:
-        own = {f.name for f in T.StructType.fromDDL(schemas.MART[view.target]).fields}
-        failed = quality.failed_rules(view.rules())
-        refused = F.struct(*source, failed.alias("failed_rules"))
-        values = {c: v for c, v in view.columns().items() if c in own}
-        accepted = row(view, view.target, values, F.when(F.lit(False), refused))
-        return F.when(F.size(failed) == 0, accepted).otherwise(row(view, REJECTED, {"load_date": F.col("load_date")}, refused))
-
-    found = prepared.select(F.explode(F.array(*[one(view) for view in views])).alias("row")).select("row.*")
+    # every step is a projection of its own over what the one before has settled: rules are looked at once a row, values are
+    # made for accepted rows only, and all of it is compiled (a generator over whole rows would be interpreted)
+    passed = {(i, name): f"_passed_{i}_{name}" for i, view in numbered for name in view.rules()}
+    checked = prepared.withColumns(
+        {passed[i, name]: F.coalesce(rule, F.lit(False)) for i, view in numbered for name, rule in view.rules().items()}
+    )
+    if len(views) > 1:
+        checked = checked.withColumn("_view", F.explode(F.array(*[F.lit(i) for i, _ in numbered])))
+    else:
+        checked = checked.withColumn("_view", F.lit(0))
+
+    def one_of(made: Callable[[int, View], Column | None], number: str, otherwise: Column) -> Column:
+        found = otherwise
+        for i, view in reversed(numbered):
+            if (c := made(i, view)) is not None:
+                found = F.when(F.col(number) == i, c).otherwise(found)
+        return found
+
+    none = F.lit(None)
+    accepted = one_of(lambda i, view: reduce(and_, [F.col(passed[i, n]) for n in view.rules()], F.lit(True)), "_view", F.lit(False))
+    judged = checked.withColumn("_accepted", F.when(accepted, F.col("_view")).otherwise(-1))
+
+    def value(name: str, kind: T.DataType) -> Column:
+        def made(i: int, view: View) -> Column | None:
+            own = {f.name for f in T.StructType.fromDDL(schemas.MART[view.target]).fields}
+            supplied = view.columns().get(name) if name in own else None
+            return None if supplied is None else supplied.cast(kind)
+
+        refused = F.col("load_date").cast(kind) if name == "load_date" else none.cast(kind)
+        if name == "load_date":
+            refused = F.when(F.col("_accepted") < 0, refused)
+        return one_of(made, "_accepted", refused)
+
+    failed = one_of(
+        lambda i, view: quality.failed_rules({n: F.col(passed[i, n]) for n in view.rules()}), "_view", none.cast("array<string>")
+    )
+    found = judged.select(
+        one_of(lambda i, view: F.lit(view.target), "_accepted", F.lit(REJECTED)).alias("mart"),
+        one_of(lambda i, view: F.lit(view.name), "_view", none).alias("view"),
+        *[value(c, kind).alias(c) for c, kind in columns.items()],
+        F.when(F.col("_accepted") < 0, F.struct(*source, failed.alias("failed_rules"))).alias("rejected"),
+    )
     return found if keep_rejects else found.filter(F.col("mart") != REJECTED)
 
 

@@ -29,8 +29,9 @@ def write_monthly(df: DataFrame, path: str, order_key: str, load_column: str = "
     by_month(df, order_key, load_column).write.mode(mode).partitionBy("load_month").parquet(path)
 
 
-def write_batch(df: DataFrame, table: str, batch_id: int, *partition_by: str) -> str:
-    """Write one micro-batch to its own folder and return the folder.
+def write_batch(df: DataFrame, table: str, batch_id: int, *partition_by: str, row_group: int | None = None) -> str:
+    """Write one micro-batch to its own folder and return the folder. ``row_group`` is the size of row groups in bytes: a
+    reader gives a group to one task, so a file of several can be read by several.
 
     Appending parquet is not atomic; overwriting ``run=<id>/batch_id=<n>`` is repeatable, so a batch replayed
     after a failure leaves the table as one successful run would. The id is that of the stream, which is kept in its
@@ -39,6 +40,8 @@ def write_batch(df: DataFrame, table: str, batch_id: int, *partition_by: str) ->
     run = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
     path = f"{table}/run={run}/batch_id={batch_id}"
     writer = df.write.mode("overwrite")
+    if row_group:
+        writer = writer.option("parquet.block.size", row_group)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return path
 

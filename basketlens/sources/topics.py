@@ -79,5 +79,5 @@ class FileTopics:
         if self.rows_per_file:
             writer = writer.option("maxRecordsPerFile", self.rows_per_file)
         else:
-            writer = writer.option("compression", "gzip")
+            writer = writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
         writer.text(self.path(topic))

@@ -283,3 +283,21 @@ def test_quality_rules_are_never_null(spark):
     for rule in marts.PRODUCTS.rules().values():
         assert df.select(rule).first()[0] is False
     assert quality.rejected(df, marts.PRODUCTS.rules()).count() == 1
+
+
+def test_views_are_routed_without_a_generator_over_their_rows(spark):
+    changes = ({}, {"price": "0"}, {"manufacturer_inn": "12"}, {"product_id": None, "manufacturer_name": None})
+    found = marts.routed(raw(spark, "products", PRODUCT, *changes), marts.views_of("products"))
+    assert not [line for line in plan_of(found, "simple").split("\n") if "Generate" in line and "RLIKE" in line]
+    told = found.selectExpr("view", "mart", "product_id", "inn", "rejected.failed_rules", "rejected.price AS was", "load_date")
+    products, makers, refused = "products", "manufacturers", marts.REJECTED
+    assert [tuple(r)[:-1] for r in told.orderBy("view", "mart", "inn", "was").collect() if r.load_date == LOADED] == [
+        (makers, makers, None, "1234567890", None, None),
+        (makers, makers, None, "1234567890", None, None),
+        (makers, refused, None, None, ["manufacturer_inn_digits"], "55.70"),
+        (makers, refused, None, None, ["manufacturer_name"], "55.70"),
+        (products, products, "prd-1", None, None, None),
+        (products, products, "prd-1", None, None, None),
+        (products, refused, None, None, ["price"], "0"),
+        (products, refused, None, None, ["product_id"], "55.70"),
+    ]

@@ -252,6 +252,32 @@ def test_documents_reach_raw_as_they_are(spark):
     assert found[0]["store_store_id"] is None and found[0]["record_id"] is None
 
 
+def test_a_message_is_parsed_and_walked_once(spark):
+    """What is readable is told without a second parse, and no field is looked up by a path of its own."""
+    found = parse(spark.range(3).selectExpr("concat('{\"purchase_id\": ', id, '}') AS value")).filter("readable")
+    raw = json_to_raw(found, "purchases")
+    plan = raw._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") + plan.count("parse_json") == 1 and plan.count("variant_get") == 1
+    assert rows(raw, "purchase_id", "items") == [("0", None), ("1", None), ("2", None)]
+
+
+def test_fields_of_any_type_reach_raw_as_their_text(spark):
+    texts = ['{"store_id": 5, "categories": ["a", "b"], "manager": "none", "opening_hours": {"sat": [1, {"x": null}]}}',
+             '{"store_id": {"n": 1}, "categories": "a|b", "manager": {"name": true, "phone": null}, "location": [1]}']
+    raw = json_to_raw(parse(spark.createDataFrame([(t,) for t in texts], "value string")).filter("readable"), "stores")
+    names = ("store_id", "categories", "manager_name", "manager_phone", "opening_hours_sat", "location_city")
+    assert rows(raw, *names) == [("5", "a|b", None, None, '[1,{"x":null}]', None), ('{"n":1}', "a|b", "true", None, None, None)]
+
+
+def test_raw_files_of_a_batch_are_read_by_several_tasks(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    texts = spark.range(40_000).selectExpr("id", "sha2(string(id), 512) AS text")
+    path = write_batch(texts.coalesce(1), str(tmp_path / "t"), 0, row_group=1 << 20)
+    (file,) = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    assert pq.ParquetFile(f"{path}/{file}").num_row_groups > 2 and spark.read.parquet(path).count() == 40_000
+
+
 def test_rejected_rows_are_kept_with_their_reason(spark, tmp_path):
     lake = Lake(str(tmp_path / "lake"))
     free = product_message(2).replace("55.7", "0")
